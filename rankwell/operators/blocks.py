@@ -1,0 +1,168 @@
+"""Block-against-block scoring: the best partners of each row without listing all pairs.
+
+Rows are hashed into blocks of bounded size. Every (left block, right block) cell is one
+cogroup: its task works out the cell's score matrix in memory and returns the best few per
+left row, so what is shuffled afterwards is n rows per left row and cell.
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# The cell functions below travel with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Pairs of matching entries expanded at once inside a cell (three arrays of this length).
+PAIR_CHUNK = 4_000_000
+
+
+def block_count(keys: int, rows: int, block_keys: int, block_rows: int) -> int:
+    """Blocks needed so that a block holds about ``block_keys`` keys and ``block_rows`` rows."""
+    return max(1, math.ceil(keys / block_keys), math.ceil(rows / block_rows))
+
+
+def block_of(key: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+
+def pack(rows: DataFrame, key: str, blocks: int, fields: list[str]) -> DataFrame:
+    """One row per block with the block's rows as aligned arrays."""
+    packed = rows.groupBy(block_of(key, blocks).alias("block")).agg(
+        F.collect_list(F.struct(*fields)).alias("r")
+    )
+    return packed.select("block", *[F.col(f"r.{field}").alias(field) for field in fields])
+
+
+def as_left(packed: DataFrame, right_blocks: int) -> DataFrame:
+    """Each left block once for every right block."""
+    return packed.withColumnRenamed("block", "a").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1))))
+
+
+def as_right(packed: DataFrame, left_blocks: int) -> DataFrame:
+    """Each right block once for every left block."""
+    return packed.withColumnRenamed("block", "b").withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1))))
+
+
+def best_per_row(scores: np.ndarray, n: int | None, floor: float | None = None):
+    """(row, column) of each row's ``n`` largest finite scores, equal scores by column order.
+
+    With ``n`` None every finite score counts; ``floor`` drops smaller scores.
+    """
+    keep = np.isfinite(scores)
+    if floor is not None:
+        keep &= scores >= floor
+    if n is None:
+        return np.nonzero(keep)
+    if scores.shape[1] > n:
+        usable = np.where(keep, scores, -np.inf)
+        nth = -np.partition(-usable, n - 1, axis=1)[:, n - 1]
+        keep &= usable >= nth[:, None]
+    rows, columns = np.nonzero(keep)
+    order = np.lexsort((columns, -scores[rows, columns], rows))
+    rows, columns = rows[order], columns[order]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows[place < n], columns[place < n]
+
+
+def _shared_products(shape, lcode, lother, lx, rcode, rother, rx) -> np.ndarray:
+    """Matrix of sums of lx * rx over entries with the same ``other``; both sides sorted by it."""
+    acc = np.zeros(shape)
+    lo, hi = np.searchsorted(rother, lother, "left"), np.searchsorted(rother, lother, "right")
+    matches = hi - lo
+
+    # An ``other`` held by much of both blocks is cheaper as a column of a dense product.
+    held, held_at, held_n = np.unique(lother, return_index=True, return_counts=True)
+    dense = held[held_n * matches[held_at] * 8 >= shape[0] * shape[1]]
+    for start in range(0, len(dense), 256):
+        some = dense[start : start + 256]
+        left, right = np.zeros((shape[0], len(some))), np.zeros((shape[1], len(some)))
+        for side, code, other, x in ((left, lcode, lother, lx), (right, rcode, rother, rx)):
+            picked = np.isin(other, some)
+            side[code[picked], np.searchsorted(some, other[picked])] = x[picked]
+        acc += left @ right.T
+
+    sparse = np.nonzero((matches > 0) & ~np.isin(lother, dense))[0]
+    chunk_of = np.cumsum(matches[sparse]) // PAIR_CHUNK
+    for chunk in np.split(sparse, np.nonzero(np.diff(chunk_of))[0] + 1):
+        m = matches[chunk]
+        li = np.repeat(chunk, m)
+        ri = np.repeat(lo[chunk], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+        flat = lcode[li] * shape[1] + rcode[ri]
+        acc += np.bincount(flat, lx[li] * rx[ri], shape[0] * shape[1]).reshape(shape)
+    return acc
+
+
+def pearson_cell(n_others: int, n: int):
+    """Cogroup function: the n best correlated right entities of each left entity."""
+
+    def unpack(frame):
+        entity, other, x = (np.asarray(frame[c].iloc[0]) for c in ("entity", "other", "x"))
+        order = np.argsort(other, kind="stable")
+        ids, code = np.unique(entity[order], return_inverse=True)
+        x = x[order].astype(float)
+        return ids, code, other[order], x, np.bincount(code, x), np.bincount(code, x * x)
+
+    def cell(left, right):
+        if left.empty or right.empty:
+            return pd.DataFrame({"entity": [], "neighbor": [], "r": []})
+        lids, lcode, lother, lx, ls, lq = unpack(left)
+        rids, rcode, rother, rx, rs, rq = unpack(right)
+        shape = (len(lids), len(rids))
+        shared = _shared_products(shape, lcode, lother, lx, rcode, rother, rx)
+        if lx.min() > 0 and rx.min() > 0:
+            met = shared > 0
+        else:
+            met = _shared_products(shape, lcode, lother, np.ones_like(lx), rcode, rother, np.ones_like(rx)) > 0
+        with np.errstate(divide="ignore", invalid="ignore"):
+            r = (n_others * shared - ls[:, None] * rs) / np.sqrt(
+                (n_others * lq - ls * ls)[:, None] * (n_others * rq - rs * rs)
+            )
+        r[~met | (lids[:, None] == rids)] = np.nan
+        rows, columns = best_per_row(r, n)
+        return pd.DataFrame({"entity": lids[rows], "neighbor": rids[columns], "r": r[rows, columns]})
+
+    return cell
+
+
+def factor_cell(rank: int, k: int | None, floor: float | None, user_chunk: int = 256):
+    """Cogroup function: each user's best unseen items by the product of factor vectors.
+
+    The right side carries the item block and the cell's already rated pairs, if any.
+    """
+
+    def cell(left, right):
+        if left.empty or right.empty:
+            return pd.DataFrame({"user": [], "item": [], "prediction": []})
+        users = np.asarray(left["id"].iloc[0])
+        u = np.asarray(left["features"].iloc[0], dtype=float).reshape(-1, rank)
+        items = np.asarray(right["id"].iloc[0])
+        v = np.asarray(right["features"].iloc[0], dtype=float).reshape(-1, rank)
+        by_user, by_item = np.argsort(users), np.argsort(items)
+        users, u, items, v = users[by_user], u[by_user], items[by_item], v[by_item]
+
+        seen_users, seen_items = right["seen_user"].iloc[0], right["seen_item"].iloc[0]
+        if seen_users is None:
+            at_user = at_item = np.zeros(0, dtype=int)
+        else:
+            known = np.isin(seen_users, users) & np.isin(seen_items, items)
+            at_user = np.searchsorted(users, np.asarray(seen_users)[known])
+            at_item = np.searchsorted(items, np.asarray(seen_items)[known])
+
+        found = []
+        for start in range(0, len(users), user_chunk):
+            scores = (u[start : start + user_chunk] @ v.T).astype(np.float32)
+            mine = (at_user >= start) & (at_user < start + user_chunk)
+            scores[at_user[mine] - start, at_item[mine]] = -np.inf
+            rows, columns = best_per_row(scores, k, floor)
+            found.append((users[start + rows], items[columns], scores[rows, columns]))
+        user, item, score = (np.concatenate(part) for part in zip(*found))
+        return pd.DataFrame({"user": user, "item": item, "prediction": score})
+
+    return cell
