@@ -95,7 +95,7 @@ def _seen_overlap(spark, folder):
 
 def _ranking(method, threshold=None):
     def query(spark, folder):
-        train, test = _split(spark, folder)
+        train, test = features.modular_split(checkpoint(ratings_view(spark, folder)))
         predictions = _candidate_predictions(train)
         return ranking.ranking_metrics(test, predictions, method=method, threshold=threshold)
 
@@ -123,7 +123,7 @@ def _on_recos(metric, with_features=False):
     def query(spark, folder):
         train = _stored_train(spark, folder)
         vectors = item_features(spark, folder) if with_features else None
-        return metric(train, _recos(train), vectors)
+        return metric(train, checkpoint(_recos(train)), vectors)
 
     return query
 

@@ -16,11 +16,12 @@ from rankwell.columns import DEFAULT_COLS, Cols
 from rankwell.functions.expressions import dot, unit
 from rankwell.operators.similarity import (
     LARGE_GROUP_ROWS,
-    cooccurrence_similarity,
     item_counts,
     list_pairs,
+    pair_sums,
     require_features,
     split_by_group_size,
+    with_cosine,
 )
 from rankwell.skew import spread_join
 
@@ -72,11 +73,13 @@ def intralist_similarity(
 
 def _intralist_by_pairs(train: DataFrame, lists: DataFrame, cols: Cols, large_group_rows: int) -> DataFrame:
     pairs = list_pairs(lists, cols.user, cols.item).filter("i1 <> i2")
-    recommended = lists.select(cols.item).distinct()
-    relevant = spread_join(train.select(cols.user, cols.item), recommended, cols.item, "left_semi")
-    asked = pairs.select("i1", "i2").distinct()
-    sims = cooccurrence_similarity(relevant, asked, cols.user, cols.item, large_group_rows)
-    return pairs.join(sims, ["i1", "i2"]).groupBy(cols.user).agg(F.avg("sim").alias("avg_il_sim"))
+    listed = item_counts(lists, cols.item)
+    rows = spread_join(train.select(cols.user, cols.item), listed.select(cols.item), cols.item, "left_semi")
+    shared = pair_sums(rows, rows, pairs, cols.user, cols.item, None, large_group_rows)
+    sims = with_cosine(shared, item_counts(rows, cols.item), cols.item)
+    # A pair of two popular items may stand in most lists.
+    matched = spread_join(pairs, sims, ["i1", "i2"], "left", counts=listed.withColumnRenamed(cols.item, "i2"))
+    return matched.groupBy(cols.user).agg(F.avg(F.coalesce("sim", F.lit(0.0))).alias("avg_il_sim"))
 
 
 def _intralist_by_co_users(train: DataFrame, lists: DataFrame, cols: Cols) -> DataFrame:
@@ -192,12 +195,14 @@ def _history_mean_by_pairs(history: DataFrame, wanted: DataFrame, cols: Cols, la
     # At most long_list_rows recommendations meet each history row.
     listed = wanted.select(cols.user, F.col(cols.item).alias("i1"), "weight")
     met = spread_join(history.withColumnRenamed(cols.item, "i2"), listed, cols.user)
-    asked = met.select("i1", "i2").distinct()
-    sims = cooccurrence_similarity(history, asked, cols.user, cols.item, large_group_rows)
-    return (
-        met.join(sims, ["i1", "i2"])
-        .groupBy(cols.user, F.col("i1").alias(cols.item))
-        .agg(F.avg("sim").alias("mean_sim"), F.first("weight").alias("weight"))
+    counts = item_counts(history, cols.item)
+    left = spread_join(history, wanted.select(cols.item).distinct(), cols.item, "left_semi", counts)
+    shared = pair_sums(history, left, met, cols.user, cols.item, None, large_group_rows)
+    sims = with_cosine(shared, counts, cols.item)
+    # No pair meets more often than its history item occurs.
+    matched = spread_join(met, sims, ["i1", "i2"], "left", counts=counts.withColumnRenamed(cols.item, "i2"))
+    return matched.groupBy(cols.user, F.col("i1").alias(cols.item)).agg(
+        F.avg(F.coalesce("sim", F.lit(0.0))).alias("mean_sim"), F.first("weight").alias("weight")
     )
 
 

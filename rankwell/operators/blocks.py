@@ -58,17 +58,22 @@ def best_per_row(scores: np.ndarray, n: int | None, floor: float | None = None):
     keep = np.isfinite(scores)
     if floor is not None:
         keep &= scores >= floor
-    if n is None:
-        return np.nonzero(keep)
-    if scores.shape[1] > n:
+    if n is not None and scores.shape[1] > n:
         usable = np.where(keep, scores, -np.inf)
         nth = -np.partition(-usable, n - 1, axis=1)[:, n - 1]
         keep &= usable >= nth[:, None]
     rows, columns = np.nonzero(keep)
-    order = np.lexsort((columns, -scores[rows, columns], rows))
-    rows, columns = rows[order], columns[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    return rows[place < n], columns[place < n]
+    if n is not None:
+        best = best_per_entry(rows, columns, scores[rows, columns], n)
+        rows, columns = rows[best], columns[best]
+    return rows, columns
+
+
+def best_per_entry(rows, columns, scores, n: int):
+    """Positions of each row's ``n`` largest of the given scores, equal scores by column."""
+    order = np.lexsort((columns, -scores, rows))
+    place = np.arange(len(order)) - np.searchsorted(rows[order], rows[order])
+    return order[place < n]
 
 
 def _shared_products(shape, lcode, lother, lx, rcode, rother, rx) -> np.ndarray:
@@ -79,7 +84,7 @@ def _shared_products(shape, lcode, lother, lx, rcode, rother, rx) -> np.ndarray:
 
     # An ``other`` held by much of both blocks is cheaper as a column of a dense product.
     held, held_at, held_n = np.unique(lother, return_index=True, return_counts=True)
-    dense = held[held_n * matches[held_at] * 8 >= shape[0] * shape[1]]
+    dense = held[held_n * matches[held_at] * 8 >= acc.size]
     for start in range(0, len(dense), 256):
         some = dense[start : start + 256]
         left, right = np.zeros((shape[0], len(some))), np.zeros((shape[1], len(some)))
@@ -95,7 +100,7 @@ def _shared_products(shape, lcode, lother, lx, rcode, rother, rx) -> np.ndarray:
         li = np.repeat(chunk, m)
         ri = np.repeat(lo[chunk], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
         flat = lcode[li] * shape[1] + rcode[ri]
-        acc += np.bincount(flat, lx[li] * rx[ri], shape[0] * shape[1]).reshape(shape)
+        acc += np.bincount(flat, lx[li] * rx[ri], acc.size).reshape(shape)
     return acc
 
 
@@ -116,17 +121,20 @@ def pearson_cell(n_others: int, n: int):
         rids, rcode, rother, rx, rs, rq = unpack(right)
         shape = (len(lids), len(rids))
         shared = _shared_products(shape, lcode, lother, lx, rcode, rother, rx)
-        if lx.min() > 0 and rx.min() > 0:
-            met = shared > 0
-        else:
-            met = _shared_products(shape, lcode, lother, np.ones_like(lx), rcode, rother, np.ones_like(rx)) > 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            r = (n_others * shared - ls[:, None] * rs) / np.sqrt(
-                (n_others * lq - ls * ls)[:, None] * (n_others * rq - rs * rs)
-            )
-        r[~met | (lids[:, None] == rids)] = np.nan
-        rows, columns = best_per_row(r, n)
-        return pd.DataFrame({"entity": lids[rows], "neighbor": rids[columns], "r": r[rows, columns]})
+        met = shared
+        if lx.min() <= 0 or rx.min() <= 0:
+            met = _shared_products(shape, lcode, lother, np.ones_like(lx), rcode, rother, np.ones_like(rx))
+        rows, columns = np.nonzero(met)
+        other_one = lids[rows] != rids[columns]
+        rows, columns = rows[other_one], columns[other_one]
+
+        covariance = n_others * shared[rows, columns] - ls[rows] * rs[columns]
+        spread = (n_others * lq - ls * ls)[rows] * (n_others * rq - rs * rs)[columns]
+        defined = spread > 0
+        rows, columns = rows[defined], columns[defined]
+        r = covariance[defined] / np.sqrt(spread[defined])
+        best = best_per_entry(rows, columns, r, n)
+        return pd.DataFrame({"entity": lids[rows[best]], "neighbor": rids[columns[best]], "r": r[best]})
 
     return cell
 

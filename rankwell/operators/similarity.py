@@ -3,8 +3,8 @@
 No operator here lists all pairs of a catalogue. A requested pair (i1, i2) needs the groups
 (users) that hold both items, and those are found from two sides:
 
-* groups of bounded size join their rows to themselves, with the left side cut down to
-  requested left items;
+* groups of bounded size join their rows, cut down to the items that occur as i1, to their
+  own rows;
 * rows of larger groups are reached from the pair: the rarer item of the pair is expanded to
   its large groups, and (group, other item) is looked up. One group is then never paired with
   itself, and a pair costs at most the rarer item's number of large groups.
@@ -61,24 +61,45 @@ def shared_sums(
     Without ``value`` every row weighs one, so ``shared`` counts the common groups. Pairs
     without a common group get 0. ``rows`` hold each (group, item) once.
     """
-    weight = F.lit(1) if value is None else F.col(value)
-    rows = rows.select(group, item, weight.alias("__x"))
-    small, large = split_by_group_size(rows, group, large_group_rows)
-    parts = [_from_groups(small, pairs, group, item)]
-    if large is not None:
-        parts.append(_from_pairs(large, pairs, group, item))
-
-    sums = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    sums = sums.groupBy("i1", "i2").agg(F.sum("__xy").alias("shared"))
+    left_items = pairs.select(F.col("i1").alias(item)).distinct()
+    left = spread_join(rows, left_items, item, "left_semi")
+    sums = pair_sums(rows, left, pairs, group, item, value, large_group_rows)
     return pairs.join(sums, ["i1", "i2"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
 
 
-def _from_groups(rows: DataFrame, pairs: DataFrame, group: str, item: str) -> DataFrame:
-    asked = pairs.select(F.col("i1").alias(item)).distinct()
-    left = spread_join(rows, asked, item, "left_semi")
-    left = left.select(group, F.col(item).alias("i1"), F.col("__x").alias("__y"))
-    right = rows.select(group, F.col(item).alias("i2"), "__x")
-    return left.join(right, group).select("i1", "i2", (F.col("__x") * F.col("__y")).alias("__xy"))
+def pair_sums(
+    rows: DataFrame,
+    left: DataFrame,
+    pairs: DataFrame,
+    group: str,
+    item: str,
+    value: str | None = None,
+    large_group_rows: int = LARGE_GROUP_ROWS,
+) -> DataFrame:
+    """(i1, i2, shared) for every pair of ``pairs`` with a common group, and maybe for others.
+
+    ``left`` are the rows of the items that occur as i1, ``rows`` those of all items of
+    ``pairs``. Sums of pairs nobody asked for lack the large groups: join the result to pairs.
+    """
+    weight = F.lit(1) if value is None else F.col(value)
+    rows, left = (df.select(group, item, weight.alias("__x")) for df in (rows, left))
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    if (counts.agg(F.max("n")).first()[0] or 0) <= large_group_rows:
+        products = _from_groups(left, rows, group, item)
+    else:
+        large = counts.filter(F.col("n") > large_group_rows).select(group)
+        small_left, small_rows = (spread_join(df, large, group, "left_anti", counts) for df in (left, rows))
+        large_rows = spread_join(rows, large, group, "left_semi", counts)
+        products = _from_groups(small_left, small_rows, group, item).unionByName(
+            _from_pairs(large_rows, pairs, group, item)
+        )
+    return products.groupBy("i1", "i2").agg(F.sum("__xy").alias("shared"))
+
+
+def _from_groups(left: DataFrame, rows: DataFrame, group: str, item: str) -> DataFrame:
+    one = left.select(group, F.col(item).alias("i1"), F.col("__x").alias("__y"))
+    two = rows.select(group, F.col(item).alias("i2"), "__x")
+    return one.join(two, group).select("i1", "i2", (F.col("__x") * F.col("__y")).alias("__xy"))
 
 
 def _from_pairs(rows: DataFrame, pairs: DataFrame, group: str, item: str) -> DataFrame:
@@ -88,6 +109,7 @@ def _from_pairs(rows: DataFrame, pairs: DataFrame, group: str, item: str) -> Dat
     first_is_rarer = F.col("n1") <= F.col("n2")
     directed = (
         pairs.select("i1", "i2")
+        .distinct()
         .join(n1, "i1")
         .join(n2, "i2")
         .select(
@@ -118,7 +140,11 @@ def cooccurrence_similarity(
 ) -> DataFrame:
     """n(i1, i2) / sqrt(n(i1) n(i2)) over users, for each requested pair; 0 when never together."""
     shared = shared_sums(train, pairs, user, item, large_group_rows=large_group_rows)
-    counts = item_counts(train, item)
+    return with_cosine(shared, item_counts(train, item), item)
+
+
+def with_cosine(shared: DataFrame, counts: DataFrame, item: str = "movieId") -> DataFrame:
+    """(i1, i2, sim) from co-occurrence counts ``shared`` and the (item, n) counts."""
     n1 = counts.select(F.col(item).alias("i1"), F.sqrt("n").alias("__r1"))
     n2 = counts.select(F.col(item).alias("i2"), F.sqrt("n").alias("__r2"))
     sim = F.coalesce(F.col("shared") / (F.col("__r1") * F.col("__r2")), F.lit(0.0))

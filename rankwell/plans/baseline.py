@@ -38,12 +38,15 @@ def recommend_popular(train: DataFrame, k: int = DEFAULT_K, n_popular: int = 50,
 def predict_by_means(train: DataFrame, pairs: DataFrame, cols: Cols = DEFAULT_COLS) -> DataFrame:
     """``pairs`` with prediction = user mean + item mean - overall mean of ``train``.
 
-    Pairs whose user or item has no training row drop out.
+    Pairs whose user or item has no training row drop out. The training counts tell which
+    users and items are hot among the pairs.
     """
-    users = train.groupBy(cols.user).agg(F.avg(cols.rating).alias("user_mean"))
-    items = train.groupBy(cols.item).agg(F.avg(cols.rating).alias("item_mean"))
-    overall = train.agg(F.avg(cols.rating)).scalar()
-    matched = spread_join(spread_join(pairs, users, cols.user), items, cols.item)
+    sums = (F.sum(cols.rating).alias("s"), F.count(F.lit(1)).alias("n"))
+    users, items = train.groupBy(cols.user).agg(*sums), train.groupBy(cols.item).agg(*sums)
+    overall = items.agg(F.sum("s") / F.sum("n")).scalar()
+    mean = F.col("s") / F.col("n")
+    matched = spread_join(pairs, users.select(cols.user, mean.alias("user_mean")), cols.user, counts=users)
+    matched = spread_join(matched, items.select(cols.item, mean.alias("item_mean")), cols.item, counts=items)
     return matched.withColumn(cols.prediction, F.col("user_mean") + F.col("item_mean") - overall).drop(
         "user_mean", "item_mean"
     )

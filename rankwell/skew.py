@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one in HOT_SHARE rows. At most HOT_SHARE - 1 keys can
-# be hot whatever the data size, which is what makes the hot-key table safe to broadcast.
-HOT_SHARE = 1000
+# A key with more rows than this is cut into slices of about this size.
+SLICE_ROWS = 1_000_000
+# Only the largest such keys are cut, so the table of hot keys is always small enough to
+# broadcast. A key left out then holds less than one in MAX_HOT_KEYS of all rows.
+MAX_HOT_KEYS = 1000
+MAX_SLICES = 10_000
 
 # Largest group that a window may sort in one task.
 MAX_WINDOW_ROWS = 1_000_000
@@ -25,32 +28,36 @@ def largest_group(df: DataFrame, *keys: str) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, hot_share: int = HOT_SHARE) -> DataFrame:
-    """Hot keys of a (key, n) count table with the number of slices each should be cut into."""
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.filter(F.col(n) * hot_share > total).select(
-        key, F.ceil(F.col(n) * hot_share / total).cast("int").alias(_SLICES)
-    )
+def hot_keys(counts: DataFrame, key: str, n: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """At most MAX_HOT_KEYS keys of a (key, n) count table, with the slices to cut each into."""
+    slices = F.least(F.ceil(F.col(n) / slice_rows), F.lit(MAX_SLICES)).cast("int")
+    hot = counts.filter(F.col(n) > slice_rows).select(key, slices.alias(_SLICES))
+    return hot.orderBy(F.desc(_SLICES), key).limit(MAX_HOT_KEYS)
 
 
 def spread_join(
     rows: DataFrame,
     side: DataFrame,
-    key: str,
+    on: str | list[str],
     how: str = "inner",
     counts: DataFrame | None = None,
     n: str = "n",
-    hot_share: int = HOT_SHARE,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """``rows`` joined to ``side`` on ``key``, each hot key of ``rows`` cut into slices.
+    """``rows`` joined to ``side`` on ``on``, each hot key of ``rows`` cut into slices.
 
     The slice is a hash of the whole row, so a retried task cuts the same way. ``side`` is
-    copied once per slice of its hot keys. Pass ``counts`` (key, n) when the rows per key are
-    already known. ``how`` may be inner, left, left_semi or left_anti.
+    copied once per slice of its hot keys. With several columns the last one tells hot keys.
+
+    Slices only balance the work, so ``counts`` (last column of ``on``, n) may be any estimate
+    of the rows per key, such as the counts of a related table; without it ``rows`` are
+    counted. ``how`` may be inner, left, left_semi or left_anti.
     """
+    on = [on] if isinstance(on, str) else on
+    key = on[-1]
     if counts is None:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(n))
-    hot = F.broadcast(hot_keys(counts, key, n, hot_share))
+    hot = F.broadcast(hot_keys(counts, key, n, slice_rows))
     slices = F.coalesce(F.col(_SLICES), F.lit(1))
     cut = (
         rows.join(hot, key, "left")
@@ -62,7 +69,7 @@ def spread_join(
         .withColumn(_SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop(_SLICES)
     )
-    return cut.join(copied, [key, _SLICE], how).drop(_SLICE)
+    return cut.join(copied, [*on, _SLICE], how).drop(_SLICE)
 
 
 def top_rows(df: DataFrame, group: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:

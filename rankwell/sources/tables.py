@@ -14,14 +14,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def ratings_view(spark: SparkSession, folder: str) -> DataFrame:
     """One rating per (customer, part): half stars from the quantity, newest order as time."""
-    lineitem = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     # o_orderdate has no zone, so its distance to a zoneless epoch does not depend on the session.
     epoch_seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("o_orderdate"))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", epoch_seconds.alias("seconds"))
     stars = (F.pmod(F.col("l_quantity").cast("int"), F.lit(10)) + 1) / F.lit(2.0)
-    return joined.groupBy(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("movieId")).agg(
-        F.max(stars).alias("rating"), F.max(epoch_seconds).alias("timestamp")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", stars.alias("stars"))
+    return (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy(F.col("o_custkey").alias("userId"), F.col("l_partkey").alias("movieId"))
+        .agg(F.max("stars").alias("rating"), F.max("seconds").alias("timestamp"))
     )
 
 
