@@ -12,7 +12,7 @@ from rankwell.functions.expressions import genre_list
 from rankwell.skew import top_rows
 
 # The preferences travel inside the query plan, so their number is checked.
-MAX_PREFERENCES = 10_000
+MAX_PREFERENCES = 1000
 
 
 def genre_catalog(movies: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def genre_recommend(movies: DataFrame, preferences: Mapping[str, Sequence[str]],
     ]
     if len(wanted) > MAX_PREFERENCES:
         raise ValueError(f"{len(wanted)} preference entries; at most {MAX_PREFERENCES} fit in one call")
-    wanted_rows = movies.sparkSession.createDataFrame(wanted, "profile string, genre string, times int")
+    entries = [F.struct(F.lit(p).alias("profile"), F.lit(g).alias("genre"), F.lit(t).alias("times")) for p, g, t in wanted]
+    wanted_rows = movies.sparkSession.range(1).select(F.inline(F.array(*entries)))
 
     # Of the catalogue only the wanted genres are kept, before the distinct.
     names = sorted({genre for _, genre, _ in wanted})

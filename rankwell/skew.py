@@ -94,10 +94,12 @@ def ranked(
 ) -> DataFrame:
     """Every row with its 1-based rank in its group; ``order`` must leave no ties.
 
-    Groups are measured first. While all are small a window does; otherwise the rows are
-    sorted by (group, order) over all tasks and written to the checkpoint folder, and each
-    rank is the position in the sorted run plus the group's rows in earlier runs.
+    The rows are written to the checkpoint folder, since they are read more than once: first
+    to measure the groups. While all are small a window does; otherwise the rows are sorted by
+    (group, order) over all tasks, and each rank is the position in the sorted run plus the
+    group's rows in earlier runs.
     """
+    df = checkpoint(df)
     if largest_group(df, group) <= max_group_rows:
         window = Window.partitionBy(group).orderBy(*order)
         return df.withColumn(rank, F.row_number().over(window).cast("long"))
