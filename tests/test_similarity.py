@@ -1,0 +1,169 @@
+import itertools
+import math
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from rankwell.metrics import diversity
+from rankwell.operators import features, similarity
+from rankwell.plans import baseline
+from tests.conftest import rows_of
+
+
+def brute_cooccurrence(rows):
+    users = defaultdict(set)
+    for user, item in rows:
+        users[item].add(user)
+    return lambda a, b: len(users[a] & users[b]) / math.sqrt(len(users[a]) * len(users[b])) if users[a] and users[b] else 0.0
+
+
+@pytest.fixture(scope="module")
+def lists(spark, skewed):
+    """Recommendations: user 2 gets a third of all of them."""
+    rows = [(2, i) for i in range(1, 25)] + [(u, (u * 5 + j) % 60 + 1) for u in range(3, 15) for j in range(4)] + [(30, 99)]
+    seen = {(r["userId"], r["movieId"]) for r in skewed.collect()}
+    return spark.createDataFrame([r for r in rows if r not in seen], "userId long, movieId long").persist()
+
+
+@pytest.mark.parametrize("large", [4096, 3])
+def test_cooccurrence_of_requested_pairs(spark, skewed, large):
+    sim = brute_cooccurrence([(r["userId"], r["movieId"]) for r in skewed.collect()])
+    asked = [(a, b) for a, b in itertools.product(range(1, 61, 3), range(1, 61, 2))] + [(1, 1), (1, 999)]
+    pairs = spark.createDataFrame(asked, "i1 long, i2 long")
+    got = similarity.cooccurrence_similarity(skewed, pairs, large_group_rows=large)
+    assert rows_of(got) == sorted((a, b, round(sim(a, b), 9)) for a, b in asked)
+
+
+@pytest.mark.parametrize("large", [4096, 3])
+def test_pearson_of_requested_pairs(spark, skewed, large):
+    vectors = defaultdict(dict)
+    for r in skewed.collect():
+        vectors[r["movieId"]][r["userId"]] = r["rating"]
+    n = len({u for v in vectors.values() for u in v})
+
+    def pearson(a, b):
+        x, y = ([vectors[i].get(u, 0.0) for u in range(1, n + 1)] for i in (a, b))
+        mx, my = sum(x) / n, sum(y) / n
+        top = sum((p - mx) * (q - my) for p, q in zip(x, y))
+        return top / math.sqrt(sum((p - mx) ** 2 for p in x) * sum((q - my) ** 2 for q in y))
+
+    asked = list(itertools.product(range(1, 61, 4), range(2, 61, 3)))
+    pairs = spark.createDataFrame(asked, "i1 long, i2 long")
+    got = similarity.pearson_similarity(skewed, pairs, large_group_rows=large)
+    for row in got.collect():
+        assert math.isclose(row["r"], pearson(row["i1"], row["i2"]), abs_tol=1e-9)
+    assert got.count() == len(asked)
+
+
+def test_pearson_of_a_constant_column_is_undefined(spark):
+    # Columns 1 and 3 of the rows (1,2,4) (0,0,0) (3,1,0), and a column of equal values.
+    rows = [(1, 1, 1.0), (1, 2, 2.0), (1, 3, 4.0), (3, 1, 3.0), (3, 2, 1.0), (1, 4, 2.0), (2, 4, 2.0), (3, 4, 2.0)]
+    ratings = spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    pairs = spark.createDataFrame([(1, 3), (1, 4)], "i1 long, i2 long")
+    got = {(r["i1"], r["i2"]): r["r"] for r in similarity.pearson_similarity(ratings, pairs).collect()}
+    assert math.isclose(got[1, 3], -0.188982, abs_tol=1e-6)
+    assert got[1, 4] is None
+
+
+@pytest.mark.parametrize("limits", [{}, {"large_group_rows": 3}, {"long_list_rows": 5}, {"long_list_rows": 1, "large_group_rows": 2}])
+def test_intralist_and_serendipity_by_any_path(skewed, lists, limits):
+    train = [(r["userId"], r["movieId"]) for r in skewed.collect()]
+    sim = brute_cooccurrence(train)
+    recos, history = defaultdict(list), defaultdict(list)
+    for r in lists.collect():
+        recos[r["userId"]].append(r["movieId"])
+    for user, item in train:
+        history[user].append(item)
+
+    want = []
+    for user, items in recos.items():
+        pairs = list(itertools.combinations(items, 2))
+        if pairs:
+            want.append((user, round(sum(sim(a, b) for a, b in pairs) / len(pairs), 9)))
+    assert rows_of(diversity.intralist_similarity(skewed, lists, **limits)) == sorted(want)
+
+    want = [
+        (user, item, round(1 - sum(sim(item, h) for h in history[user]) / len(history[user]), 9))
+        for user, items in recos.items()
+        for item in items
+        if history[user]
+    ]
+    assert rows_of(diversity.user_item_serendipity(skewed, lists, **limits)) == sorted(want)
+
+
+def test_feature_measures_by_brute_force(spark, skewed, lists):
+    vectors = {i: [math.sin(i), math.cos(3 * i), 0.5] for i in range(1, 50)} | {7: [0.0, 0.0, 0.0]}
+    table = spark.createDataFrame(list(vectors.items()), "movieId long, features array<double>")
+
+    def sim(a, b):
+        x, y = vectors.get(a), vectors.get(b)
+        if x is None or y is None or not any(x) or not any(y):
+            return 0.0
+        return sum(p * q for p, q in zip(x, y)) / (math.hypot(*x) * math.hypot(*y))
+
+    recos, history = defaultdict(list), defaultdict(list)
+    for r in lists.collect():
+        recos[r["userId"]].append(r["movieId"])
+    for r in skewed.collect():
+        history[r["userId"]].append(r["movieId"])
+    want = {}
+    for user, items in recos.items():
+        pairs = list(itertools.combinations(items, 2))
+        if pairs:
+            want[user] = sum(sim(a, b) for a, b in pairs) / len(pairs)
+    got = {r["userId"]: r["avg_il_sim"] for r in diversity.intralist_similarity(skewed, lists, table).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[u], want[u], abs_tol=1e-9) for u in want)
+
+    rows = diversity.user_item_serendipity(skewed, lists, table).collect()
+    assert len(rows) == sum(len(items) for user, items in recos.items() if history[user])
+    for r in rows:
+        mean = sum(sim(r["movieId"], h) for h in history[r["userId"]]) / len(history[r["userId"]])
+        assert math.isclose(r["user_item_serendipity"], 1 - mean, abs_tol=1e-9)
+
+    pairs = spark.createDataFrame([(1, 2), (3, 3), (1, 59)], "i1 long, i2 long")
+    got = {(r["i1"], r["i2"]): r["sim"] for r in similarity.feature_similarity(table, pairs).collect()}
+    assert got.keys() == {(1, 2), (3, 3)}
+    assert math.isclose(got[3, 3], 1.0) and math.isclose(got[1, 2], sim(1, 2), abs_tol=1e-12)
+
+
+def test_serendipity_weighs_relevance(skewed, lists):
+    graded = lists.withColumn("liked", (F.col("movieId") % 3).cast("int"))
+    plain = {(r[0], r[1]): r[2] for r in diversity.user_item_serendipity(skewed, lists).collect()}
+    for limits in ({}, {"long_list_rows": 1}):
+        for r in diversity.user_item_serendipity(skewed, graded, relevance="liked", **limits).collect():
+            assert math.isclose(r[2], plain[r[0], r[1]] * (r[1] % 3), abs_tol=1e-9)
+
+
+def test_similarity_is_symmetric_and_one_on_the_diagonal(spark, ratings):
+    items = [r[0] for r in ratings.select("movieId").distinct().orderBy("movieId").limit(12).collect()]
+    pairs = spark.createDataFrame(list(itertools.product(items, items)), "i1 long, i2 long")
+    sims = {(r["i1"], r["i2"]): r["sim"] for r in similarity.cooccurrence_similarity(ratings, pairs).collect()}
+    assert all(math.isclose(sims[i, i], 1.0) for i in items)
+    assert all(math.isclose(sims[i, j], sims[j, i]) for i, j in sims)
+
+
+def test_novelty_of_unseen_items(spark):
+    train = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (3, 2)], "userId long, movieId long")
+    recos = spark.createDataFrame([(1, 2), (2, 9)], "userId long, movieId long")
+    assert {r[0]: r[1] for r in diversity.item_novelty(train).collect()}[2] == 2.0
+    assert diversity.novelty(train, recos).first()[0] == 1.0
+    assert diversity.catalog_coverage(train, recos).first()[0] == 1.0
+    assert diversity.distributional_coverage(recos).first()[0] == 1.0
+
+
+def test_guards(spark, skewed, lists):
+    diversity.require_unseen(skewed, lists)
+    assert diversity.seen_overlap(skewed, lists).first()[0] == 0
+    with pytest.raises(ValueError):
+        diversity.require_unseen(skewed, skewed.limit(1))
+    assert diversity.seen_overlap(skewed, skewed).first()[0] == skewed.count()
+    with pytest.raises(ValueError):
+        similarity.require_features(spark.createDataFrame([(1, "x")], "movieId long, features string"))
+
+
+def test_baseline_recommends_unseen(ratings):
+    train, _ = features.modular_split(ratings)
+    recos = baseline.recommend_popular(train, 5)
+    assert diversity.seen_overlap(train, recos).first()[0] == 0
+    assert recos.groupBy("userId").count().agg(F.max("count")).first()[0] <= 5
