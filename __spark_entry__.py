@@ -19,7 +19,7 @@ import oracle  # noqa: E402
 from rankwell.metrics import diversity, ranking, rating  # noqa: E402
 from rankwell.operators import factorization, features, genres, neighbors, popularity, similarity  # noqa: E402
 from rankwell.plans import baseline, profile, report  # noqa: E402
-from rankwell.skew import checkpoint  # noqa: E402
+from rankwell.skew import checkpoint, spread_join  # noqa: E402
 from rankwell.sources.tables import item_features, movies_view, ratings_view  # noqa: E402
 
 # Support needed by the popularity rankings; items have about 30 ratings at every scale.
@@ -69,14 +69,15 @@ def _candidate_predictions(train):
     """Popular unseen items scored by means, with the item's newest training rating as time."""
     candidates = baseline.unseen_candidates(train).drop("prediction")
     newest = train.groupBy("movieId").agg(F.max("timestamp").alias("timestamp"))
-    return baseline.predict_by_means(train, candidates).join(newest, "movieId")
+    train_counts = similarity.item_counts(train)
+    return spread_join(baseline.predict_by_means(train, candidates), newest, "movieId", counts=train_counts)
 
 
 def _asked_pairs(train, recos):
     """Distinct (recommended item, item of the same user's history) pairs."""
     listed = recos.select("userId", F.col("movieId").alias("i1"))
     history = train.select("userId", F.col("movieId").alias("i2"))
-    return history.join(listed, "userId").select("i1", "i2").distinct()
+    return spread_join(history, listed, "userId").select("i1", "i2").distinct()
 
 
 # Queries that need more than one call

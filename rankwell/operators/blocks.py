@@ -21,6 +21,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Pairs of matching entries expanded at once inside a cell (three arrays of this length).
 PAIR_CHUNK = 4_000_000
+# Left rows whose scores are ranked at once.
+ROW_CHUNK = 128
 
 
 def block_count(keys: int, rows: int, block_keys: int, block_rows: int) -> int:
@@ -124,22 +126,25 @@ def pearson_cell(n_others: int, n: int):
         met = shared
         if lx.min() <= 0 or rx.min() <= 0:
             met = _shared_products(shape, lcode, lother, np.ones_like(lx), rcode, rother, np.ones_like(rx))
-        rows, columns = np.nonzero(met)
-        other_one = lids[rows] != rids[columns]
-        rows, columns = rows[other_one], columns[other_one]
-
-        covariance = n_others * shared[rows, columns] - ls[rows] * rs[columns]
-        spread = (n_others * lq - ls * ls)[rows] * (n_others * rq - rs * rs)[columns]
-        defined = spread > 0
-        rows, columns = rows[defined], columns[defined]
-        r = covariance[defined] / np.sqrt(spread[defined])
-        best = best_per_entry(rows, columns, r, n)
-        return pd.DataFrame({"entity": lids[rows[best]], "neighbor": rids[columns[best]], "r": r[best]})
+
+        lspread, rspread = n_others * lq - ls * ls, n_others * rq - rs * rs
+        found = []
+        for start in range(0, len(lids), ROW_CHUNK):
+            rows, columns = np.nonzero(met[start : start + ROW_CHUNK])
+            rows += start
+            spread = lspread[rows] * rspread[columns]
+            usable = (spread > 0) & (lids[rows] != rids[columns])
+            rows, columns = rows[usable], columns[usable]
+            r = (n_others * shared[rows, columns] - ls[rows] * rs[columns]) / np.sqrt(spread[usable])
+            best = best_per_entry(rows, columns, r, n)
+            found.append((lids[rows[best]], rids[columns[best]], r[best]))
+        entity, neighbor, r = (np.concatenate(part) for part in zip(*found))
+        return pd.DataFrame({"entity": entity, "neighbor": neighbor, "r": r})
 
     return cell
 
 
-def factor_cell(rank: int, k: int | None, floor: float | None, user_chunk: int = 256):
+def factor_cell(rank: int, k: int | None, floor: float | None):
     """Cogroup function: each user's best unseen items by the product of factor vectors.
 
     The right side carries the item block and the cell's already rated pairs, if any.
@@ -164,9 +169,9 @@ def factor_cell(rank: int, k: int | None, floor: float | None, user_chunk: int =
             at_item = np.searchsorted(items, np.asarray(seen_items)[known])
 
         found = []
-        for start in range(0, len(users), user_chunk):
-            scores = (u[start : start + user_chunk] @ v.T).astype(np.float32)
-            mine = (at_user >= start) & (at_user < start + user_chunk)
+        for start in range(0, len(users), ROW_CHUNK):
+            scores = (u[start : start + ROW_CHUNK] @ v.T).astype(np.float32)
+            mine = (at_user >= start) & (at_user < start + ROW_CHUNK)
             scores[at_user[mine] - start, at_item[mine]] = -np.inf
             rows, columns = best_per_row(scores, k, floor)
             found.append((users[start + rows], items[columns], scores[rows, columns]))
