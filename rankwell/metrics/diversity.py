@@ -43,11 +43,6 @@ def require_unseen(train: DataFrame, recos: DataFrame, cols: Cols = DEFAULT_COLS
         raise ValueError("recommendations contain user-item pairs already present in train")
 
 
-def require_similarity(measure: str) -> None:
-    if measure not in ("cooccurrence", "features"):
-        raise ValueError(f"similarity {measure!r} is not one of cooccurrence, features")
-
-
 # Diversity
 
 

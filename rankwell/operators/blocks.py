@@ -128,16 +128,29 @@ def pearson_cell(n_others: int, n: int):
             met = _shared_products(shape, lcode, lother, np.ones_like(lx), rcode, rother, np.ones_like(rx))
 
         lspread, rspread = n_others * lq - ls * ls, n_others * rq - rs * rs
-        found = []
-        for start in range(0, len(lids), ROW_CHUNK):
-            rows, columns = np.nonzero(met[start : start + ROW_CHUNK])
-            rows += start
+
+        def correlate(rows, columns):
+            covariance = n_others * shared[rows, columns] - ls[rows] * rs[columns]
             spread = lspread[rows] * rspread[columns]
             usable = (spread > 0) & (lids[rows] != rids[columns])
-            rows, columns = rows[usable], columns[usable]
-            r = (n_others * shared[rows, columns] - ls[rows] * rs[columns]) / np.sqrt(spread[usable])
-            best = best_per_entry(rows, columns, r, n)
-            found.append((lids[rows[best]], rids[columns[best]], r[best]))
+            return np.divide(covariance, np.sqrt(spread), out=np.full(spread.shape, -np.inf), where=usable)
+
+        found = []
+        for start in range(0, len(lids), ROW_CHUNK):
+            part = met[start : start + ROW_CHUNK] != 0
+            if 4 * np.count_nonzero(part) < part.size:
+                rows, columns = np.nonzero(part)
+                r = correlate(start + rows, columns)
+                usable = np.isfinite(r)
+                rows, columns, r = rows[usable], columns[usable], r[usable]
+                best = best_per_entry(rows, columns, r, n)
+                rows, columns, r = rows[best], columns[best], r[best]
+            else:
+                every = np.ix_(np.arange(start, start + len(part)), np.arange(len(rids)))
+                scores = np.where(part, correlate(*every), -np.inf)
+                rows, columns = best_per_row(scores, n)
+                r = scores[rows, columns]
+            found.append((lids[start + rows], rids[columns], r))
         entity, neighbor, r = (np.concatenate(part) for part in zip(*found))
         return pd.DataFrame({"entity": entity, "neighbor": neighbor, "r": r})
 

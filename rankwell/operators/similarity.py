@@ -168,6 +168,17 @@ def feature_similarity(features: DataFrame, pairs: DataFrame, item: str = "movie
     return pairs.join(f1, "i1").join(f2, "i2").select("i1", "i2", cosine.alias("sim"))
 
 
+def item_similarity(measure: str, train: DataFrame, pairs: DataFrame, features: DataFrame | None = None) -> DataFrame:
+    """The similarity called ``measure`` (cooccurrence or features) of each requested pair."""
+    if measure == "cooccurrence":
+        return cooccurrence_similarity(train, pairs)
+    if measure == "features":
+        if features is None:
+            raise ValueError("similarity by features needs item features")
+        return feature_similarity(features, pairs)
+    raise ValueError(f"similarity {measure!r} is not one of cooccurrence, features")
+
+
 def pearson_similarity(
     ratings: DataFrame,
     pairs: DataFrame,

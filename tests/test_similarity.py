@@ -167,3 +167,14 @@ def test_baseline_recommends_unseen(ratings):
     recos = baseline.recommend_popular(train, 5)
     assert diversity.seen_overlap(train, recos).first()[0] == 0
     assert recos.groupBy("userId").count().agg(F.max("count")).first()[0] <= 5
+
+
+def test_similarity_by_name(spark, skewed):
+    pairs = spark.createDataFrame([(1, 2)], "i1 long, i2 long")
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0])], "movieId long, features array<double>")
+    assert math.isclose(similarity.item_similarity("features", skewed, pairs, vectors).first()["sim"], math.sqrt(0.5))
+    assert 0 < similarity.item_similarity("cooccurrence", skewed, pairs).first()["sim"] < 1
+    with pytest.raises(ValueError):
+        similarity.item_similarity("features", skewed, pairs)
+    with pytest.raises(ValueError):
+        similarity.item_similarity("unheard", skewed, pairs)
