@@ -85,12 +85,13 @@ def _intralist_by_co_users(train: DataFrame, lists: DataFrame, cols: Cols) -> Da
     list item that anybody rated puts 1 on the diagonal. Rows grow with list items times
     their raters, not with the square of the list.
     """
-    weights = item_counts(train, cols.item).select(cols.item, F.sqrt("n").alias("root"))
+    counts = item_counts(train, cols.item)
+    weights = counts.select(cols.item, F.sqrt("n").alias("root"))
     sizes = lists.groupBy(cols.user).agg(F.count(F.lit(1)).alias("m"))
     rated = spread_join(lists, weights, cols.item)
     raters = train.select(cols.item, F.col(cols.user).alias("rater"))
     overlap = (
-        spread_join(raters, rated, cols.item)
+        spread_join(raters, rated, cols.item, counts=counts)
         .groupBy(cols.user, "rater")
         .agg(F.sum(1 / F.col("root")).alias("w"))
         .groupBy(cols.user)
@@ -207,18 +208,19 @@ def _history_mean_by_co_users(history: DataFrame, wanted: DataFrame, cols: Cols)
     With w = 1/sqrt(n(item)), summing similarities of item r over a history is w(r) times the
     sum, over users v who rated r, of the w of v's items in that history.
     """
-    weights = item_counts(history, cols.item).select(cols.item, F.sqrt("n").alias("root"))
+    counts = item_counts(history, cols.item)
+    weights = counts.select(cols.item, F.sqrt("n").alias("root"))
     raters = history.select(cols.item, F.col(cols.user).alias("rater"))
     own = spread_join(history, wanted.select(cols.user).distinct(), cols.user, "left_semi")
     sizes = own.groupBy(cols.user).agg(F.count(F.lit(1)).alias("m"))
     overlap = (
-        spread_join(raters, spread_join(own, weights, cols.item), cols.item)
+        spread_join(raters, spread_join(own, weights, cols.item, counts=counts), cols.item, counts=counts)
         .groupBy(cols.user, "rater")
         .agg(F.sum(1 / F.col("root")).alias("w"))
     )
     listed = spread_join(wanted, weights, cols.item)
     sums = (
-        spread_join(raters, listed, cols.item)
+        spread_join(raters, listed, cols.item, counts=counts)
         .join(overlap, [cols.user, "rater"])
         .groupBy(cols.user, cols.item)
         .agg(F.sum(F.col("w") / F.col("root")).alias("total"))
@@ -237,7 +239,8 @@ def _history_mean_by_features(history: DataFrame, wanted: DataFrame, features: D
     units = features.select(cols.item, unit("features").alias("u"))
     mean = F.coalesce(dot("u", "v") / F.col("m"), F.lit(0.0))
     listed = spread_join(wanted, units, cols.item, "left")
-    return spread_join(listed, users, cols.user).select(cols.user, cols.item, mean.alias("mean_sim"), "weight")
+    per_user = wanted.groupBy(cols.user).agg(F.count(F.lit(1)).alias("n"))
+    return spread_join(listed, users, cols.user, counts=per_user).select(cols.user, cols.item, mean.alias("mean_sim"), "weight")
 
 
 def user_serendipity(train: DataFrame, recos: DataFrame, features=None, relevance=None, cols: Cols = DEFAULT_COLS, **limits) -> DataFrame:
