@@ -25,8 +25,8 @@ LARGE_GROUP_ROWS = 4096
 def list_pairs(lists: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
     """Pairs i1 <= i2 of the items of each user's list, the diagonal included.
 
-    For recommendation lists; ``split_long_lists`` of the diversity metrics keeps lists
-    without a useful length bound away from here.
+    For recommendation lists of bounded length; the diversity metrics take longer lists apart
+    with ``split_by_group_size`` first.
     """
     left = lists.select(user, F.col(item).alias("i1"))
     right = lists.select(user, F.col(item).alias("i2"))
