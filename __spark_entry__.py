@@ -22,6 +22,15 @@ from rankwell.plans import baseline, profile, report  # noqa: E402
 from rankwell.skew import checkpoint, spread_join  # noqa: E402
 from rankwell.sources.tables import item_features, movies_view, ratings_view  # noqa: E402
 
+try:
+    from rankwell.llm import queries as llm  # noqa: E402
+except ImportError:  # the package works without its subpackage for training data
+    llm = None
+try:
+    import corpus_pipeline  # noqa: E402
+except ImportError:
+    corpus_pipeline = None
+
 # Support needed by the popularity rankings; items have about 30 ratings at every scale.
 MIN_COUNT = 20
 PREFERENCES = {
@@ -243,9 +252,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def with_rounding(query):
         return lambda spark, folder: rounded(query(spark, folder))
 
-    return {name: with_rounding(query) for name, query in _QUERIES.items()}
+    found = {name: with_rounding(query) for name, query in _QUERIES.items()}
+    if llm is not None:
+        found |= llm.QUERIES
+    if corpus_pipeline is not None:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """Name -> DuckDB SQL; the trained models have none."""
-    return oracle.statements()
+    """Name -> DuckDB SQL; trained models and what SQL cannot express have none."""
+    found = oracle.statements()
+    if llm is not None:
+        found |= llm.ORACLE_SQL
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL is not None:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
