@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe
+from rankwell.llm import bpe, language_id, simhash
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -22,8 +22,24 @@ def _bpe(spark, folder):
     )
 
 
+def _language_id(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held = language_id.learned(docs)
+    model = language_id.fit(docs.filter(~held))
+    marked = docs.select("doc_id", "text", held.alias("held_out"))
+    return language_id.identify(marked, model).drop("text")
+
+
+def _simhash(spark, folder):
+    found = simhash.components(table(spark, folder, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op3_bpe": _bpe,
+    "op9_language_id": _language_id,
+    "op10_simhash": _simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
