@@ -21,12 +21,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import as_bytes, buffer_of, slices, with_struct
+from rankwell.llm.common import as_bytes, buffer_of, slices, text_batches, with_struct
 
 # Bytes of text handled at once, codepoints in a row of the scan, merged slices a worker keeps.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 SCAN_ROW = 256
-CACHED_BYTES = 64_000_000
+CACHED_BYTES = 48_000_000
 # Longer slices are merged but not kept; longer ones are merged with a heap of pairs.
 KEPT_SLICE = 64
 SCANNED_SLICE = 64
@@ -265,6 +265,7 @@ def _encoder(name: str) -> Encoder:
 
 def _shared_ranks(df: DataFrame, path: str) -> str:
     """Sends the rank file (one vocabulary, its size fixed) to every executor; its name there."""
+    text_batches(df.sparkSession)
     df.sparkSession.sparkContext.addFile(path)
     return path.rstrip("/").rsplit("/", 1)[-1]
 

@@ -47,6 +47,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Lowers the session's Arrow batches to so many rows and bytes, as rows here are whole texts."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{name}"
+        held = spark.conf.get(key, None)
+        if held is None or not held.isdigit() or not 0 < int(held) <= most:
+            spark.conf.set(key, most)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

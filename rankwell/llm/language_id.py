@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import as_bytes, slices, with_struct
+from rankwell.llm.common import as_bytes, slices, text_batches, with_struct
 
 # n-grams of 1 to 3 characters share 2 ** BUCKET_BITS buckets; SMOOTHING is added to each count.
 ORDERS, BUCKET_BITS, SMOOTHING = 3, 15, 0.5
@@ -68,6 +68,7 @@ def counted(rows: DataFrame, text: str, lang: str, bits: int = BUCKET_BITS) -> D
                 [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(sums[at])], ["lang", "bucket", "n"]
             )
 
+    text_batches(rows.sparkSession)
     pairs = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
     counts = pairs.mapInArrow(count, "lang string, bucket int, n long")
     return counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -124,6 +125,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     beforehand and the evidence of a text counted as that of at most ``EVIDENCE`` n-grams, so
     that long texts do not all have 1; und has 0. Ties go to the first language by name.
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("lang_pred string, score double")

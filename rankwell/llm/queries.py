@@ -5,12 +5,44 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe, language_id, simhash
+from rankwell.llm import bpe, decontaminate, language_id, license_scan, simhash
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def _license_scan(spark, folder):
+    found = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    phrases = F.array_distinct(F.transform("places", lambda p: p["label"]))
+    whole = F.filter("spans", lambda s: s["coverage"] >= license_scan.COVERED)
+    spans = F.transform(whole, lambda s: s["label"])
+    starts = F.transform("places", lambda p: p["start"])
+    best = F.array_max(F.transform("spans", lambda s: s["coverage"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(phrases), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(phrases, spans)), ",").alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
+def _decontaminate(spark, folder):
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    found = decontaminate.scan(docs, items, ["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def _bpe(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     out = bpe.decode(bpe.encode(docs, RANKS), RANKS)
@@ -37,7 +69,9 @@ def _simhash(spark, folder):
 
 
 QUERIES = {
+    "op2_license_scan": _license_scan,
     "op3_bpe": _bpe,
+    "op4_decontaminate": _decontaminate,
     "op9_language_id": _language_id,
     "op10_simhash": _simhash,
 }

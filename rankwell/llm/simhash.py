@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import as_bytes, fresh, slices, stored
+from rankwell.llm.common import as_bytes, fresh, slices, stored, text_batches
 from rankwell.llm.components import connected_components
 
 BITS, RADIUS, SHINGLE, SEED = 64, 4, 4, 42
@@ -89,6 +89,7 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint")
             parts = [fingerprints_of(part) for _, part in slices(as_bytes(texts), SLICE_BYTES)]
             yield pa.array(np.concatenate([np.zeros(0, np.int64), *parts]))
 
+    text_batches(docs.sparkSession)
     return docs.withColumn(name, simhash(docs[f"`{text}`"]))
 
 
