@@ -4,9 +4,9 @@ Two fingerprints within the radius meet in the middle: some value lies within ha
 of both. Emitting the whole ball of radius 2 around a 64-bit fingerprint takes 2,081 rows, so
 fingerprints are first cut in two: of at most four differing bits one half has at most two,
 and there the balls of radius 1 (33 rows a half) must meet. Pairs that meet are verified over
-all 64 bits. A value that many fingerprints share is not paired out: its members emit their
-whole ball instead, where any two that meet are linked, so a chain of links to the least one
-replaces the pairs.
+all 64 bits. Fingerprints that share a value are not paired out: a forest of verified links
+connects them. If more share one than a task should compare, they emit their whole balls
+instead, where any two that meet are linked, so links to the least one replace comparisons.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ BITS, RADIUS, SHINGLE, SEED = 64, 4, 4, 42
 # Shingles turned into bits at once.
 STEP = 50_000
 SLICE_BYTES = 4_000_000
-# Members of a meeting value up to which its pairs are verified one by one.
-PAIRED = 32
+# Members that meet in one value: up to FEW all close pairs are links, up to PAIRED a forest of
+# close pairs that connects them; only beyond that whole balls take over.
+FEW, PAIRED = 8, 2048
 
 
 def _digests(text: bytes) -> Iterator[tuple[bytes, int]]:
@@ -128,7 +129,7 @@ def _batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 
 
 def _verified(radius: int, paired: int):
-    """Over rows sorted by key: close pairs of each run, or (fp, fp) for the members of a long run."""
+    """Over rows sorted by key: links within each run, or (fp, fp) for the members of a long run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, prints = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -154,6 +155,25 @@ def _verified(radius: int, paired: int):
     return run
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
+def _forest(prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Close pairs that connect whatever close pairs of ``prints`` connect; fewer than members."""
+    left, ones, others = np.unique(prints), [], []
+    while len(left):
+        reached, left = [left[0]], left[1:]
+        while reached and len(left):
+            one = reached.pop()
+            near = _apart(left, one) <= radius
+            found, left = left[near], left[~near]
+            ones.append(np.full(len(found), one)), others.append(found)
+            reached.extend(found)
+    a, b = np.concatenate([np.zeros(0, np.int64), *ones]), np.concatenate([np.zeros(0, np.int64), *others])
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def _runs(keys, prints, radius, paired, crowded) -> Iterator[pa.RecordBatch]:
     if not len(keys):
         return
@@ -163,12 +183,20 @@ def _runs(keys, prints, radius, paired, crowded) -> Iterator[pa.RecordBatch]:
     if long.any():
         yield _batch(prints[long], prints[long])
         keys, prints = keys[~long], prints[~long]
-    for d in range(1, paired):
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else first[:0]
+        size = np.diff(np.append(first, len(keys)))
+    more = size > FEW
+    if more.any():
+        forests = [_forest(prints[at : at + n], radius) for at, n in zip(first[more].tolist(), size[more].tolist())]
+        yield _batch(*(np.concatenate(side) for side in zip(*forests)))
+        few = ~np.repeat(more, size)
+        keys, prints = keys[few], prints[few]
+    for d in range(1, FEW):
         at = np.flatnonzero(keys[d:] == keys[:-d])
         if not len(at):
             break
         a, b = prints[at], prints[at + d]
-        near = np.bitwise_count(a ^ b if a.dtype == np.uint64 else (a ^ b).view(np.uint64)) <= radius
+        near = _apart(a, b) <= radius
         yield _batch(np.minimum(a[near], b[near]), np.maximum(a[near], b[near]))
 
 

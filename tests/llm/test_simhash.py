@@ -68,7 +68,7 @@ def test_long_text_in_steps(spark, monkeypatch):
     ]
 
 
-@pytest.mark.parametrize("paired", [2, 32])
+@pytest.mark.parametrize("paired", [2, 20, 2048])
 def test_links_connect_all_close_prints(spark, paired):
     rnd = random.Random(paired)
     prints = set()
