@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe, decontaminate, language_id, license_scan, simhash
+from rankwell.llm import bpe, decontaminate, language_id, license_scan, quality, simhash, url_filter
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -54,6 +54,27 @@ def _bpe(spark, folder):
     )
 
 
+def _quality(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.judge(quality.measured(docs)).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        F.col("rejected_by").isNull().alias("kept"),
+    )
+
+
+def _url_filter(spark, folder):
+    # A page's outcome is the quality label that bears its id.
+    outcomes = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("bad"))
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 def _language_id(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held = language_id.learned(docs)
@@ -72,8 +93,13 @@ QUERIES = {
     "op2_license_scan": _license_scan,
     "op3_bpe": _bpe,
     "op4_decontaminate": _decontaminate,
+    "op5_quality": _quality,
+    "op7_url_filter": _url_filter,
     "op9_language_id": _language_id,
     "op10_simhash": _simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_quality": quality.ORACLE_SQL,
+    "op7_url_filter": url_filter.ORACLE_SQL,
+}
