@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe, decontaminate, language_id, license_scan, quality, simhash, url_filter
+from rankwell.llm import bpe, decontaminate, language_id, license_scan, quality, simhash, url_filter, warc
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -68,6 +68,11 @@ def _quality(spark, folder):
     )
 
 
+def _warc(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return warc.read(warc.archive(pages), payload=False).drop("url")
+
+
 def _url_filter(spark, folder):
     # A page's outcome is the quality label that bears its id.
     outcomes = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("bad"))
@@ -94,6 +99,7 @@ QUERIES = {
     "op3_bpe": _bpe,
     "op4_decontaminate": _decontaminate,
     "op5_quality": _quality,
+    "op6_warc": _warc,
     "op7_url_filter": _url_filter,
     "op9_language_id": _language_id,
     "op10_simhash": _simhash,
@@ -101,5 +107,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_quality": quality.ORACLE_SQL,
+    "op6_warc": warc.ORACLE_SQL,
     "op7_url_filter": url_filter.ORACLE_SQL,
 }
