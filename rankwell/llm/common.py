@@ -17,6 +17,9 @@ WORD_TABLE = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
     for c in range(256)
 )
+# Odd numbers that make word hashes: a base, its inverse modulo 2 ** 64, and one to spread bits.
+_BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -105,3 +108,24 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
     data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     return data, offsets - offsets[0]
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Hash, text number, start and end of every word, and the lower-cased bytes they lie in."""
+    joined = b"\n".join(texts).translate(WORD_TABLE)
+    data = np.frombuffer(joined, np.uint8)
+    inside = np.concatenate([[False], data != 0x20, [False]])
+    turns = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = turns[::2], turns[1::2]
+    # Prefix sums of byte * base ** place, so that a word's hash does not depend on its place.
+    with np.errstate(over="ignore"):
+        powers = np.full(len(data) + 1, _BASE)
+        powers[0] = 1
+        powers = np.cumprod(powers)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
+        back = np.full(len(data) + 1, _BACK)
+        back[0] = 1
+        hashes = (sums[ends] - sums[starts]) * np.cumprod(back)[starts]
+        hashes = (hashes ^ (hashes >> np.uint64(32))) * _SPREAD
+    firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return hashes, np.searchsorted(firsts, starts, "right") - 1, starts, ends, joined

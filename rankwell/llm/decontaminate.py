@@ -15,15 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import WORD_TABLE, as_bytes, fresh, slices, stored, text_batches
+from rankwell.llm.common import as_bytes, fresh, hashed_words, slices, stored, text_batches
 
 WINDOW, GRAM = 10, 5
 # The bitmap of item fingerprints that every task gets has 2 ** FILTER_BITS bits, however many
 # items there are; a full one only lets more through to the join.
 FILTER_BITS = 22
 SLICE_BYTES = 1_000_000
-_BASE, _STEP, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
-_TABLE = np.frombuffer(WORD_TABLE, np.uint8)
+_STEP, _SPREAD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xFF51AFD7ED558CCD)
 
 FOUND = pa.struct(
     [
@@ -37,31 +36,6 @@ FOUND = pa.struct(
 FIELDS = "n_words long, grams array<struct<size int, hash long, at long, left array<string>, right array<string>>>"
 
 
-def _inverse(odd: int) -> int:
-    return pow(odd, -1, 1 << 64)
-
-
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """Hash, text number, start and end of every word, and the lower-cased bytes they lie in."""
-    joined = b"\n".join(texts).translate(WORD_TABLE)
-    data = np.frombuffer(joined, np.uint8)
-    inside = np.concatenate([[False], data != 0x20, [False]])
-    turns = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = turns[::2], turns[1::2]
-    # Prefix sums of byte * base ** place, so that a word's hash does not depend on its place.
-    with np.errstate(over="ignore"):
-        powers = np.full(len(data) + 1, _BASE)
-        powers[0] = 1
-        powers = np.cumprod(powers)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
-        back = np.full(len(data) + 1, np.uint64(_inverse(int(_BASE))))
-        back[0] = 1
-        hashes = (sums[ends] - sums[starts]) * np.cumprod(back)[starts]
-        hashes = (hashes ^ (hashes >> np.uint64(32))) * _SPREAD
-    firsts = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return hashes, np.searchsorted(firsts, starts, "right") - 1, starts, ends, joined
-
-
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words from each word on."""
     n = max(0, len(words) - size + 1)
@@ -94,7 +68,7 @@ def winnowed(words: np.ndarray, owner: np.ndarray, span: int) -> tuple[int, np.n
 
 
 def _found(texts: list[bytes], spans: list[int], own: bool, bitmap: np.ndarray | None) -> pa.Array:
-    words, owner, starts, ends, joined = words_of(texts)
+    words, owner, starts, ends, joined = hashed_words(texts)
     counts = np.bincount(owner, minlength=len(texts)).astype(np.int64)
     first = np.concatenate([[0], np.cumsum(counts)])
     rows: list[list[dict]] = [[] for _ in texts]

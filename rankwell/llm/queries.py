@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe, decontaminate, language_id, license_scan, quality, simhash, url_filter, warc
+from rankwell.llm import bpe, decontaminate, language_id, license_scan, quality, simhash, toxicity, url_filter, warc
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,6 +80,13 @@ def _url_filter(spark, folder):
     return url_filter.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
 
 
+def _toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    weights = toxicity.fit(docs, labels.filter(~toxicity.held_out(labels)))
+    marked = docs.withColumn("held_out", toxicity.held_out(docs))
+    return toxicity.score(marked, weights).drop("text")
+
+
 def _language_id(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held = language_id.learned(docs)
@@ -101,6 +108,7 @@ QUERIES = {
     "op5_quality": _quality,
     "op6_warc": _warc,
     "op7_url_filter": _url_filter,
+    "op8_toxicity": _toxicity,
     "op9_language_id": _language_id,
     "op10_simhash": _simhash,
 }
