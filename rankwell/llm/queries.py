@@ -5,12 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe, decontaminate, language_id, license_scan, quality, simhash, toxicity, url_filter, warc
+from rankwell.llm import bpe, decontaminate, language_id, license_scan, lm_scoring, quality, simhash, toxicity, url_filter, warc
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def _lm_scoring(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return lm_scoring.score(docs, lm_scoring.learned(docs))
+
+
 def _license_scan(spark, folder):
     found = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
     phrases = F.array_distinct(F.transform("places", lambda p: p["label"]))
@@ -102,6 +107,7 @@ def _simhash(spark, folder):
 
 
 QUERIES = {
+    "op1_lm_scoring": _lm_scoring,
     "op2_license_scan": _license_scan,
     "op3_bpe": _bpe,
     "op4_decontaminate": _decontaminate,
