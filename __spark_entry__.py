@@ -69,6 +69,21 @@ def _recos(train):
     return baseline.recommend_popular(train)
 
 
+def _lists(train, test):
+    """Each user's best predicted held-out items: lists that differ from user to user."""
+    return ranking.relevant_top_k(baseline.predict_by_means(train, test))
+
+
+def _train_and_lists(spark, folder):
+    """The stored training part, and the stored lists of held-out items."""
+    train, test = features.modular_split(checkpoint(ratings_view(spark, folder)))
+    return train, checkpoint(_lists(train, test))
+
+
+def _on_lists(use):
+    return lambda spark, folder: use(*_train_and_lists(spark, folder))
+
+
 def _test_predictions(spark, folder):
     train, test = _split(spark, folder)
     return test, baseline.predict_by_means(train, test)
@@ -98,9 +113,10 @@ def _train_test_split(spark, folder):
 
 
 def _seen_overlap(spark, folder):
-    ratings = ratings_view(spark, folder)
-    train, _ = features.modular_split(ratings)
-    return diversity.seen_overlap(train, ratings.filter("rating >= 4"))
+    """Held-out rows as recommendations, with some rows that each user has already rated."""
+    train, test = features.modular_split(ratings_view(spark, folder))
+    listed = test.unionByName(train.filter("(userId + movieId) % 5 = 0"))
+    return diversity.seen_overlap(train, listed)
 
 
 def _ranking(method, threshold=None):
@@ -112,34 +128,38 @@ def _ranking(method, threshold=None):
     return query
 
 
-def _cooccurrence(spark, folder):
-    train = _stored_train(spark, folder)
-    return similarity.cooccurrence_similarity(train, _asked_pairs(train, _recos(train)))
+def _cooccurrence(**limits):
+    return _on_lists(lambda train, lists: similarity.cooccurrence_similarity(train, _asked_pairs(train, lists), **limits))
 
 
 def _feature_similarity(spark, folder):
-    train = _stored_train(spark, folder)
-    return similarity.feature_similarity(item_features(spark, folder), _asked_pairs(train, _recos(train)))
+    train, lists = _train_and_lists(spark, folder)
+    return similarity.feature_similarity(item_features(spark, folder), _asked_pairs(train, lists))
 
 
 def _item_pearson(spark, folder):
-    train = _stored_train(spark, folder)
-    return similarity.pearson_similarity(train, _asked_pairs(train, _recos(train)))
+    train, lists = _train_and_lists(spark, folder)
+    return similarity.pearson_similarity(train, _asked_pairs(train, lists))
+
+
+def _weighted_serendipity(train, lists):
+    weighted = lists.withColumn("relevance", 1 / F.col("rank"))
+    return diversity.user_item_serendipity(train, weighted, relevance="relevance")
 
 
-def _on_recos(metric, with_features=False):
-    """A metric of (train, recos), with the stored vectors as item features if asked."""
+def _on_recos(metric, with_features=False, **limits):
+    """A metric of (train, lists), with the stored vectors as item features if asked."""
 
     def query(spark, folder):
-        train = _stored_train(spark, folder)
+        train, lists = _train_and_lists(spark, folder)
         vectors = item_features(spark, folder) if with_features else None
-        return metric(train, checkpoint(_recos(train)), vectors)
+        return metric(train, lists, vectors, **limits)
 
     return query
 
 
 def _evaluation_report(spark, folder):
-    train, test = _split(spark, folder)
+    train, test = features.modular_split(checkpoint(ratings_view(spark, folder)))
     return report.evaluation_report(train, test, baseline.predict_by_means(train, test), _recos(train))
 
 
@@ -213,23 +233,31 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ranking_metrics_by_timestamp": _ranking("by_time_stamp"),
     # Pairs and similarities
     "seen_overlap": _seen_overlap,
-    "item_pairs": _on_train(lambda train: similarity.list_pairs(_recos(train))),
-    "cooccurrence_similarity": _cooccurrence,
+    "item_pairs": _on_lists(lambda train, lists: similarity.list_pairs(lists)),
+    "cooccurrence_similarity": _cooccurrence(),
+    # The same through the path for long histories, whatever their length.
+    "cooccurrence_similarity_long_histories": _cooccurrence(large_group_rows=5),
     "feature_similarity": _feature_similarity,
     # Diversity, novelty, serendipity, coverage
     "intralist_similarity": _on_recos(diversity.intralist_similarity),
+    "intralist_similarity_long_lists": _on_recos(diversity.intralist_similarity, long_list_rows=3),
     "intralist_similarity_by_features": _on_recos(diversity.intralist_similarity, with_features=True),
     "user_diversity": _on_recos(diversity.user_diversity),
     "diversity": _on_recos(diversity.diversity),
     "item_novelty": _on_train(diversity.item_novelty),
-    "novelty": _on_train(lambda train: diversity.novelty(train, _recos(train))),
+    "novelty": _on_lists(diversity.novelty),
     "user_item_serendipity": _on_recos(diversity.user_item_serendipity),
+    "user_item_serendipity_long_lists": _on_recos(diversity.user_item_serendipity, long_list_rows=3),
+    "user_item_serendipity_by_relevance": _on_lists(_weighted_serendipity),
     "user_item_serendipity_by_features": _on_recos(diversity.user_item_serendipity, with_features=True),
     "user_serendipity": _on_recos(diversity.user_serendipity),
     "serendipity": _on_recos(diversity.serendipity),
-    "catalog_coverage": _on_train(lambda train: diversity.catalog_coverage(train, _recos(train))),
-    "distributional_coverage": _on_train(lambda train: diversity.distributional_coverage(_recos(train))),
+    "catalog_coverage": _on_lists(diversity.catalog_coverage),
+    "distributional_coverage": _on_lists(lambda train, lists: diversity.distributional_coverage(lists)),
     # Pearson
+    "pearson_neighbors_large_entities": _on_stored_ratings(
+        lambda ratings: neighbors.pearson_neighbors(ratings, entity="movieId", other="userId", large_entity_rows=32)
+    ),
     "rating_matrix": _on_ratings(neighbors.rating_matrix),
     "item_pearson": _item_pearson,
     "pearson_neighbors": _on_stored_ratings(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # Every statement may use these tables.
 _TABLES = r"""
 ratings AS (
@@ -24,15 +26,18 @@ train AS (SELECT * FROM ratings WHERE ("userId" * 31 + "movieId" * 17) % 4 <> 0)
 test AS (SELECT * FROM ratings WHERE ("userId" * 31 + "movieId" * 17) % 4 = 0),
 train_items AS (SELECT "movieId", count(*) AS n, avg(rating) AS mean, max("timestamp") AS newest FROM train GROUP BY 1),
 train_users AS (SELECT "userId", count(*) AS n, avg(rating) AS mean FROM train GROUP BY 1),
-popular AS (SELECT "movieId", n::DOUBLE AS prediction FROM train_items ORDER BY n DESC, "movieId" LIMIT 50),
 candidates AS (
-  SELECT u."userId", p."movieId", p.prediction FROM train_users u CROSS JOIN popular p
-  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."userId" = u."userId" AND t."movieId" = p."movieId")),
-recos AS (
   SELECT * FROM (
-    SELECT "userId", "movieId", prediction,
-           row_number() OVER (PARTITION BY "userId" ORDER BY prediction DESC, "movieId") AS "rank"
-    FROM candidates) WHERE "rank" <= 10),
+    SELECT u."userId", i."movieId", i.n::DOUBLE AS prediction,
+           row_number() OVER (PARTITION BY u."userId" ORDER BY i.n DESC, i."movieId") AS "rank"
+    FROM train_users u CROSS JOIN train_items i
+    WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."userId" = u."userId" AND t."movieId" = i."movieId"))
+  WHERE "rank" <= 50),
+recos AS (SELECT * FROM candidates WHERE "rank" <= 10),
+lists AS (
+  SELECT * FROM (
+    SELECT "userId", "movieId", row_number() OVER (PARTITION BY "userId" ORDER BY prediction DESC, "movieId") AS "rank"
+    FROM test_predictions) WHERE "rank" <= 10),
 overall AS (SELECT avg(rating) AS mean FROM train),
 test_predictions AS (
   SELECT t.*, u.mean + i.mean - (SELECT mean FROM overall) AS prediction
@@ -41,7 +46,7 @@ candidate_predictions AS (
   SELECT c."userId", c."movieId", i.newest AS "timestamp", u.mean + i.mean - (SELECT mean FROM overall) AS prediction
   FROM candidates c JOIN train_users u USING ("userId") JOIN train_items i USING ("movieId")),
 asked AS (
-  SELECT DISTINCT r."movieId" AS i1, t."movieId" AS i2 FROM recos r JOIN train t USING ("userId")),
+  SELECT DISTINCT r."movieId" AS i1, t."movieId" AS i2 FROM lists r JOIN train t USING ("userId")),
 together AS (
   SELECT a."movieId" AS i1, b."movieId" AS i2, count(*) AS shared, sum(a.rating * b.rating) AS sxy
   FROM train a JOIN train b USING ("userId") GROUP BY 1, 2),
@@ -54,7 +59,7 @@ feature_sims AS (
   FROM vectors a CROSS JOIN vectors b),
 list_pairs AS (
   SELECT a."userId", a."movieId" AS i1, b."movieId" AS i2
-  FROM recos a JOIN recos b ON a."userId" = b."userId" AND a."movieId" <= b."movieId"),
+  FROM lists a JOIN lists b ON a."userId" = b."userId" AND a."movieId" <= b."movieId"),
 intralist AS (
   SELECT p."userId", avg(coalesce(s.sim, 0)) AS avg_il_sim
   FROM list_pairs p LEFT JOIN sims s ON s.i1 = p.i1 AND s.i2 = p.i2 WHERE p.i1 <> p.i2 GROUP BY 1),
@@ -64,11 +69,11 @@ intralist_features AS (
 novelties AS (SELECT "movieId", -log2(n / (SELECT sum(n) FROM train_items)) AS item_novelty FROM train_items),
 serendipities AS (
   SELECT r."userId", r."movieId", 1 - avg(coalesce(s.sim, 0)) AS user_item_serendipity
-  FROM recos r JOIN train t USING ("userId") LEFT JOIN sims s ON s.i1 = r."movieId" AND s.i2 = t."movieId"
+  FROM lists r JOIN train t USING ("userId") LEFT JOIN sims s ON s.i1 = r."movieId" AND s.i2 = t."movieId"
   GROUP BY 1, 2),
 serendipities_features AS (
   SELECT r."userId", r."movieId", 1 - avg(coalesce(s.sim, 0)) AS user_item_serendipity
-  FROM recos r JOIN train t USING ("userId") LEFT JOIN feature_sims s ON s.i1 = r."movieId" AND s.i2 = t."movieId"
+  FROM lists r JOIN train t USING ("userId") LEFT JOIN feature_sims s ON s.i1 = r."movieId" AND s.i2 = t."movieId"
   GROUP BY 1, 2),
 user_serendipities AS (
   SELECT "userId", avg(user_item_serendipity) AS user_serendipity FROM serendipities GROUP BY 1),
@@ -79,11 +84,11 @@ rating_scores AS (
   FROM test_predictions),
 spread AS (
   SELECT -sum(p * log2(p)) AS distributional_coverage
-  FROM (SELECT count(*) / (SELECT count(*) FROM recos) AS p FROM recos GROUP BY "movieId")),
+  FROM (SELECT count(*) / (SELECT count(*) FROM lists) AS p FROM lists GROUP BY "movieId")),
 coverage AS (
-  SELECT (SELECT count(DISTINCT "movieId") FROM recos) / (SELECT count(*) FROM train_items) AS catalog_coverage),
+  SELECT (SELECT count(DISTINCT "movieId") FROM lists) / (SELECT count(*) FROM train_items) AS catalog_coverage),
 reco_novelty AS (
-  SELECT sum(coalesce(item_novelty, 0)) / count(*) AS novelty FROM recos LEFT JOIN novelties USING ("movieId"))
+  SELECT sum(coalesce(item_novelty, 0)) / count(*) AS novelty FROM lists LEFT JOIN novelties USING ("movieId"))
 """
 
 _GENRE_PREFERENCES = """
@@ -106,8 +111,26 @@ cosines AS (
 
 
 def _select(body: str, extra: str = "") -> str:
-    tables = _TABLES + ("," + extra if extra else "")
-    return f"WITH {tables}\n{body}"
+    """``body`` with those of the tables that it needs, directly or through others.
+
+    A table of ``extra`` replaces one of the same name.
+    """
+    tables = {}
+    for text in (_TABLES, extra):
+        heads = list(re.finditer(r"^([a-z_]+)(\([a-z, ]+\))? AS \(", text, re.M))
+        for head, after in zip(heads, [*heads[1:], None]):
+            sql = text[head.end() - 1 : after.start() if after else None].strip().rstrip(",")
+            tables[head[1]] = (head[1] + (head[2] or ""), sql)
+    used: dict[str, str] = {}
+
+    def need(text: str) -> None:
+        for name, (head, sql) in tables.items():
+            if name not in used and re.search(rf"\b{name}\b", text) and text is not sql:
+                need(sql)
+                used[name] = f"{head} AS MATERIALIZED {sql}"
+
+    need(body)
+    return "WITH " + ",\n".join(used.values()) + f"\n{body}" if used else body
 
 
 def _ranking_tables(predictions: str, order: str, where: str) -> str:
@@ -193,7 +216,21 @@ unseen AS (
 """
 
 
+# Queries that take another path to the same result.
+_SAME = {
+    "cooccurrence_similarity_long_histories": "cooccurrence_similarity",
+    "intralist_similarity_long_lists": "intralist_similarity",
+    "user_item_serendipity_long_lists": "user_item_serendipity",
+    "pearson_neighbors_large_entities": "pearson_neighbors",
+}
+
+
 def statements() -> dict[str, str]:
+    found = _statements()
+    return found | {name: found[same] for name, same in _SAME.items()}
+
+
+def _statements() -> dict[str, str]:
     return {
         "ratings_view": _select('SELECT "userId", "movieId", round(rating, 6) AS rating, "timestamp" FROM ratings'),
         "movies_view": _select("SELECT * FROM movies"),
@@ -263,7 +300,10 @@ FROM rating_scores"""),
             "(SELECT * FROM candidate_predictions WHERE prediction >= 3.0)", "prediction", "ranked"
         ),
         "ranking_metrics_by_timestamp": _ranking("candidate_predictions", '"timestamp"'),
-        "seen_overlap": _select("SELECT count(*) AS overlap FROM train WHERE rating >= 4"),
+        "seen_overlap": _select("""
+SELECT count(*) AS overlap FROM (
+  SELECT "userId", "movieId" FROM test UNION SELECT "userId", "movieId" FROM train WHERE ("userId" + "movieId") % 5 = 0)
+JOIN train USING ("userId", "movieId")"""),
         "item_pairs": _select("SELECT * FROM list_pairs"),
         "cooccurrence_similarity": _select("""
 SELECT i1, i2, round(coalesce(sim, 0), 6) AS sim FROM asked LEFT JOIN sims USING (i1, i2)"""),
@@ -278,6 +318,9 @@ SELECT i1, i2, round(coalesce(sim, 0), 6) AS sim FROM asked LEFT JOIN sims USING
         "novelty": _select("SELECT round(novelty, 6) AS novelty FROM reco_novelty"),
         "user_item_serendipity": _select("""
 SELECT "userId", "movieId", round(user_item_serendipity, 6) AS user_item_serendipity FROM serendipities"""),
+        "user_item_serendipity_by_relevance": _select("""
+SELECT s."userId", s."movieId", round(user_item_serendipity / "rank", 6) AS user_item_serendipity
+FROM serendipities s JOIN lists l ON l."userId" = s."userId" AND l."movieId" = s."movieId" """),
         "user_item_serendipity_by_features": _select("""
 SELECT "userId", "movieId", round(user_item_serendipity, 6) AS user_item_serendipity FROM serendipities_features"""),
         "user_serendipity": _select('SELECT "userId", round(user_serendipity, 6) AS user_serendipity FROM user_serendipities'),
@@ -317,6 +360,7 @@ SELECT round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(rsquared, 6) AS rsqua
        round((SELECT avg(user_serendipity) FROM user_serendipities), 6) AS serendipity, round(novelty, 6) AS novelty,
        round((SELECT avg(1 - avg_il_sim) FROM intralist), 6) AS diversity
 FROM rating_scores, ranking_scores, spread, coverage, reco_novelty""",
-            _ranking_tables("recos", "prediction", "ranked WHERE place <= 10"),
+            _ranking_tables("recos", "prediction", "ranked WHERE place <= 10")
+            + ',\nlists AS (SELECT "userId", "movieId", "rank" FROM recos)',
         ),
     }

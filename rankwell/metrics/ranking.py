@@ -6,23 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwell.columns import DEFAULT_COLS, DEFAULT_K, Cols, require_columns
-from rankwell.skew import MAX_WINDOW_ROWS, ranked, top_rows
+from rankwell.skew import ranked, top_rows
 
 
 def relevant_top_k(predictions: DataFrame, k: int = DEFAULT_K, cols: Cols = DEFAULT_COLS) -> DataFrame:
     """(user, item, rank) of the k best predictions per user, ties by item."""
     scored = predictions.select(cols.user, cols.item, cols.prediction)
     ranking = top_rows(scored, cols.user, [F.desc(cols.prediction), F.asc(cols.item)], k)
-    return ranking.select(cols.user, cols.item, F.col("rank").cast("long"))
+    return ranking.select(cols.user, cols.item, "rank")
 
 
-def relevant_by_threshold(
-    predictions: DataFrame, threshold: float, cols: Cols = DEFAULT_COLS, max_group_rows: int = MAX_WINDOW_ROWS
-) -> DataFrame:
+def relevant_by_threshold(predictions: DataFrame, threshold: float, cols: Cols = DEFAULT_COLS) -> DataFrame:
     """(user, item, rank) of all predictions of at least ``threshold``, however many."""
     scored = predictions.select(cols.user, cols.item, cols.prediction).filter(F.col(cols.prediction) >= threshold)
     order = [F.desc(cols.prediction), F.asc(cols.item)]
-    return ranked(scored, cols.user, order, max_group_rows=max_group_rows).select(cols.user, cols.item, "rank")
+    return ranked(scored, cols.user, order).select(cols.user, cols.item, "rank")
 
 
 def relevant_by_timestamp(predictions: DataFrame, k: int = DEFAULT_K, cols: Cols = DEFAULT_COLS) -> DataFrame:
@@ -30,7 +28,7 @@ def relevant_by_timestamp(predictions: DataFrame, k: int = DEFAULT_K, cols: Cols
     require_columns(predictions, [cols.timestamp], "predictions")
     timed = predictions.select(cols.user, cols.item, cols.timestamp)
     ranking = top_rows(timed, cols.user, [F.desc(cols.timestamp), F.asc(cols.item)], k)
-    return ranking.select(cols.user, cols.item, F.col("rank").cast("long"))
+    return ranking.select(cols.user, cols.item, "rank")
 
 
 def relevant_items(

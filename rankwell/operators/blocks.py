@@ -106,8 +106,11 @@ def _shared_products(shape, lcode, lother, lx, rcode, rother, rx) -> np.ndarray:
     return acc
 
 
-def pearson_cell(n_others: int, n: int):
-    """Cogroup function: the n best correlated right entities of each left entity."""
+def pearson_cell(n_others: int, n: int, constant: float):
+    """Cogroup function: the n best correlated right entities of each left entity.
+
+    ``constant`` is the relative spread up to which a vector counts as constant.
+    """
 
     def unpack(frame):
         entity, other, x = (np.asarray(frame[c].iloc[0]) for c in ("entity", "other", "x"))
@@ -128,11 +131,12 @@ def pearson_cell(n_others: int, n: int):
             met = _shared_products(shape, lcode, lother, np.ones_like(lx), rcode, rother, np.ones_like(rx))
 
         lspread, rspread = n_others * lq - ls * ls, n_others * rq - rs * rs
+        lvaried, rvaried = lspread > constant * n_others * lq, rspread > constant * n_others * rq
 
         def correlate(rows, columns):
             covariance = n_others * shared[rows, columns] - ls[rows] * rs[columns]
             spread = lspread[rows] * rspread[columns]
-            usable = (spread > 0) & (lids[rows] != rids[columns])
+            usable = lvaried[rows] & rvaried[columns] & (lids[rows] != rids[columns])
             return np.divide(covariance, np.sqrt(spread), out=np.full(spread.shape, -np.inf), where=usable)
 
         found = []

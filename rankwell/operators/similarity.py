@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from rankwell.functions.expressions import dot, norm
 from rankwell.skew import spread_join
 
+# A vector is constant when n * (sum of squares) - (sum)**2 is at most this share of its first
+# term: what is left of it then is rounding.
+CONSTANT = 1e-12
+
 # Groups with more rows than this are reached from the pairs.
 LARGE_GROUP_ROWS = 4096
 
@@ -207,7 +211,8 @@ def correlation(n) -> Column:
     covariance = n * F.col("shared") - F.col("s1") * F.col("s2")
     spread1 = n * F.col("q1") - F.col("s1") * F.col("s1")
     spread2 = n * F.col("q2") - F.col("s2") * F.col("s2")
-    return F.try_divide(covariance, F.sqrt(spread1 * spread2))
+    varied = (spread1 > CONSTANT * n * F.col("q1")) & (spread2 > CONSTANT * n * F.col("q2"))
+    return F.when(varied, covariance / F.sqrt(spread1 * spread2))
 
 
 def vector_stats(ratings: DataFrame, entity: str, value: str = "rating") -> DataFrame:

@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is cut into slices of about this size.
+# A key with more rows than this is cut into slices of about this size, or of one HOT_SHARE-th of
+# all rows where that is more. So fewer than HOT_SHARE keys are ever hot, and none that is left
+# whole holds more than the even share of a partition among HOT_SHARE.
 SLICE_ROWS = 1_000_000
-# Only the largest such keys are cut, so the table of hot keys is always small enough to
-# broadcast. A key left out then holds less than one in MAX_HOT_KEYS of all rows.
-MAX_HOT_KEYS = 1000
-MAX_SLICES = 10_000
-
-# Largest group that a window may sort in one task.
-MAX_WINDOW_ROWS = 1_000_000
+HOT_SHARE = 100_000
 
 # Spark prunes row_number() <= k before the shuffle only up to this k
 # (default of spark.sql.optimizer.windowGroupLimitThreshold).
@@ -22,17 +18,14 @@ GROUP_LIMIT_K = 1000
 _SLICES, _SLICE = "__slices", "__slice"
 
 
-def largest_group(df: DataFrame, *keys: str) -> int:
-    """Rows of the largest key group; one aggregate job, one number back."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
+def hot_keys(counts: DataFrame, key: str, n: str, slice_rows: int = SLICE_ROWS, share: int = HOT_SHARE) -> DataFrame:
+    """The hot keys of a (key, n) count table, with the slices to cut each into.
 
-def hot_keys(counts: DataFrame, key: str, n: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """At most MAX_HOT_KEYS keys of a (key, n) count table, with the slices to cut each into."""
-    slices = F.least(F.ceil(F.col(n) / slice_rows), F.lit(MAX_SLICES)).cast("int")
-    hot = counts.filter(F.col(n) > slice_rows).select(key, slices.alias(_SLICES))
-    return hot.orderBy(F.desc(_SLICES), key).limit(MAX_HOT_KEYS)
+    Fewer than ``share`` keys can hold more than one ``share``-th of all rows each, so the
+    result is small enough to broadcast however long ``counts`` is.
+    """
+    most = F.greatest(F.lit(float(slice_rows)), counts.agg(F.sum(n) / share).scalar())
+    return counts.filter(F.col(n) > most).select(key, F.ceil(F.col(n) / most).cast("int").alias(_SLICES))
 
 
 def spread_join(
@@ -73,7 +66,7 @@ def spread_join(
 
 
 def top_rows(df: DataFrame, group: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:
-    """The first ``k`` rows of each group with their 1-based rank.
+    """The first ``k`` rows of each group with their 1-based rank (long).
 
     Up to ``GROUP_LIMIT_K`` Spark cuts each map task's share of a group to k rows before the
     shuffle, so a hot group never reaches one task whole; a larger k takes the ranking that
@@ -81,36 +74,24 @@ def top_rows(df: DataFrame, group: str, order: list[Column], k: int, rank: str =
     """
     if k > GROUP_LIMIT_K:
         return ranked(df, group, order, rank).filter(F.col(rank) <= k)
+    # The limit is seen through a filter on the row number itself, so the cast comes last.
     window = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
+    best = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)
+    return best.withColumn(rank, F.col(rank).cast("long"))
 
 
-def ranked(
-    df: DataFrame,
-    group: str,
-    order: list[Column],
-    rank: str = "rank",
-    max_group_rows: int = MAX_WINDOW_ROWS,
-) -> DataFrame:
+def ranked(df: DataFrame, group: str, order: list[Column], rank: str = "rank") -> DataFrame:
     """Every row with its 1-based rank in its group; ``order`` must leave no ties.
 
-    The rows are written to the checkpoint folder, since they are read more than once: first
-    to measure the groups. While all are small a window does; otherwise the rows are sorted by
-    (group, order) over all tasks, and each rank is the position in the sorted run plus the
-    group's rows in earlier runs.
+    No group is ever put into one task: the rows are sorted by (group, order) over all tasks,
+    and each rank is the position in the sorted run plus the group's rows in earlier runs. The
+    sorted rows are written to the checkpoint folder, which fixes the runs.
     """
-    df = checkpoint(df)
-    if largest_group(df, group) <= max_group_rows:
-        window = Window.partitionBy(group).orderBy(*order)
-        return df.withColumn(rank, F.row_number().over(window).cast("long"))
-
     # monotonically_increasing_id is (partition << 33) + position; the checkpoint fixes it.
     run = F.shiftright("__at", 33)
     placed = df.orderBy(group, *order).withColumn("__at", F.monotonically_increasing_id())
     placed = checkpoint(placed).withColumn("__run", run)
-    runs = placed.groupBy(group, "__run").agg(
-        F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n")
-    )
+    runs = placed.groupBy(group, "__run").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
     # One row per (group, run): no longer than the number of sorted runs.
     before = Window.partitionBy(group).orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
@@ -128,15 +109,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark) -> None:
-    """Use the folder the session names in spark.checkpoint.dir; pick one only on local masters."""
+    """Use the folder the session names in spark.checkpoint.dir.
+
+    Only a session on one machine that names none gets a folder of its own, deleted when it ends.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         import tempfile
 
         folder = tempfile.mkdtemp(prefix="rankwell-checkpoint-")
+        path = context._jvm.org.apache.hadoop.fs.Path(f"file://{folder}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
     context.setCheckpointDir(folder)

@@ -2,6 +2,7 @@ import math
 
 import pytest
 from pyspark.mllib.evaluation import RankingMetrics, RegressionMetrics
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankwell.columns import Cols
@@ -114,8 +115,9 @@ def test_ties_go_by_item(spark):
 
 def test_threshold_lists_of_hot_users(skewed):
     guess = skewed.withColumnRenamed("rating", "prediction")
-    plain = ranking.relevant_by_threshold(guess, 2.0)
-    assert rows_of(ranking.relevant_by_threshold(guess, 2.0, max_group_rows=3)) == rows_of(plain)
+    window = Window.partitionBy("userId").orderBy(F.desc("prediction"), "movieId")
+    plain = guess.filter("prediction >= 2").select("userId", "movieId", F.row_number().over(window).alias("rank"))
+    assert rows_of(ranking.relevant_by_threshold(guess, 2.0)) == rows_of(plain)
 
 
 def test_other_column_names(spark):
@@ -133,3 +135,27 @@ def test_report_as_json(spark, ratings):
     assert '"rmse":' in scores and '"distributional_coverage":' in scores
     row = made.first()
     assert 0 < row["catalog_coverage"] <= 1 and 0 <= row["precision_at_k"] <= 1
+
+
+def test_popular_unseen_items_over_the_whole_catalogue(spark):
+    """Users who rated much of the head of the ranking, or all of it, against brute force."""
+    rows = [(u, i, 3.0) for u in range(1, 40) for i in range(1, 81) if (u * i) % 7 < 2 + u % 3]
+    rows += [(100, i, 1.0) for i in range(1, 81)] + [(101, i, 1.0) for i in range(1, 76)] + [(102, 80, 1.0)]
+    train = spark.createDataFrame(rows, TRIPLE)
+    counts = {}
+    for _, i, _ in rows:
+        counts[i] = counts.get(i, 0) + 1
+    order = sorted(counts, key=lambda i: (-counts[i], i))
+    want = []
+    for u in {u for u, _, _ in rows}:
+        seen = {i for v, i, _ in rows if v == u}
+        want += [(u, i, float(counts[i]), n) for n, i in enumerate([i for i in order if i not in seen][:10], 1)]
+    got = baseline.recommend_popular(train, 10)
+    assert rows_of(got, "userId", "movieId", "prediction", "rank") == sorted(want)
+    assert got.filter("userId = 100").count() == 0 and got.filter("userId = 101").count() == 5
+
+
+def test_report_refuses_rated_recommendations(ratings):
+    train, test = features.modular_split(ratings)
+    with pytest.raises(ValueError, match="already present"):
+        report.evaluation_report(train, test, baseline.predict_by_means(train, test), train.withColumn("rank", F.lit(1)))

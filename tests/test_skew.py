@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rankwell import skew
@@ -15,13 +16,15 @@ def test_spread_join_equals_join(spark, skewed, how):
     assert rows_of(got, *want.columns) == rows_of(want)
 
 
-def test_hot_keys_are_cut_and_bounded(skewed):
+def test_every_hot_key_is_cut(spark, skewed):
     counts = skewed.groupBy("userId").agg(F.count("*").alias("n"))
-    hot = skew.hot_keys(counts, "userId", "n", slice_rows=10)
-    assert rows_of(hot) == [(1, 6)]
-    every = skew.hot_keys(counts.withColumn("n", F.col("n") * 1000), "userId", "n", slice_rows=1)
-    assert every.count() <= skew.MAX_HOT_KEYS
-    assert every.agg(F.max("__slices")).first()[0] == skew.MAX_SLICES
+    assert rows_of(skew.hot_keys(counts, "userId", "n", slice_rows=10)) == [(1, 6)]
+    many = spark.range(5000).select(F.col("id").alias("k"), F.lit(30).alias("n"))
+    assert rows_of(skew.hot_keys(many, "k", "n", slice_rows=10).agg(F.count("*"), F.min("__slices"))) == [(5000, 3)]
+    # Beyond an even share only what stands out is hot, which bounds the table.
+    assert skew.hot_keys(many, "k", "n", slice_rows=10, share=4000).count() == 0
+    uneven = many.withColumn("n", F.when(F.col("k") < 3, 30_000).otherwise(30))
+    assert skew.hot_keys(uneven, "k", "n", slice_rows=10, share=100).count() == 3
 
 
 def test_spread_join_takes_estimated_counts(spark, skewed):
@@ -31,18 +34,19 @@ def test_spread_join_takes_estimated_counts(spark, skewed):
     assert rows_of(got, "userId", "movieId", "mean") == rows_of(skewed.join(side, "userId"), "userId", "movieId", "mean")
 
 
-def test_both_rankings_agree(skewed):
+def test_ranking_equals_a_window(skewed):
     order = [F.desc("rating"), F.asc("movieId")]
-    by_window = skew.ranked(skewed, "userId", order)
-    by_sort = skew.ranked(skewed, "userId", order, max_group_rows=5)
-    assert rows_of(by_window) == rows_of(by_sort, *by_window.columns)
+    want = skewed.withColumn("rank", F.row_number().over(Window.partitionBy("userId").orderBy(*order)).cast("long"))
+    assert rows_of(skew.ranked(skewed, "userId", order), *want.columns) == rows_of(want)
 
 
 def test_top_rows_beyond_the_group_limit(skewed, monkeypatch):
     order = [F.desc("rating"), F.asc("movieId")]
-    pruned = rows_of(skew.top_rows(skewed, "userId", order, 3), "userId", "movieId", "rank")
+    pruned = skew.top_rows(skewed, "userId", order, 3)
     monkeypatch.setattr(skew, "GROUP_LIMIT_K", 2)
-    assert rows_of(skew.top_rows(skewed, "userId", order, 3), "userId", "movieId", "rank") == pruned
+    whole = skew.top_rows(skewed, "userId", order, 3)
+    assert dict(whole.dtypes) == dict(pruned.dtypes)
+    assert rows_of(whole, "userId", "movieId", "rank") == rows_of(pruned, "userId", "movieId", "rank")
 
 
 def test_top_rows_are_pruned_before_the_shuffle(skewed):
