@@ -56,13 +56,13 @@ def rounded(df: DataFrame) -> DataFrame:
 # Inputs shared by the queries
 
 
-def _split(spark, folder):
-    return features.modular_split(ratings_view(spark, folder))
+def _ratings(spark, folder):
+    """The ratings, built once: queries with several branches read the written rows."""
+    return checkpoint(ratings_view(spark, folder))
 
 
-def _stored_train(spark, folder):
-    """The training part, written out for the queries that read it many times."""
-    return checkpoint(_split(spark, folder)[0])
+def _split(spark, folder):
+    return features.modular_split(_ratings(spark, folder))
 
 
 def _recos(train):
@@ -76,7 +76,7 @@ def _lists(train, test):
 
 def _train_and_lists(spark, folder):
     """The stored training part, and the stored lists of held-out items."""
-    train, test = features.modular_split(checkpoint(ratings_view(spark, folder)))
+    train, test = _split(spark, folder)
     return train, checkpoint(_lists(train, test))
 
 
@@ -114,14 +114,14 @@ def _train_test_split(spark, folder):
 
 def _seen_overlap(spark, folder):
     """Held-out rows as recommendations, with some rows that each user has already rated."""
-    train, test = features.modular_split(ratings_view(spark, folder))
+    train, test = _split(spark, folder)
     listed = test.unionByName(train.filter("(userId + movieId) % 5 = 0"))
     return diversity.seen_overlap(train, listed)
 
 
 def _ranking(method, threshold=None):
     def query(spark, folder):
-        train, test = features.modular_split(checkpoint(ratings_view(spark, folder)))
+        train, test = _split(spark, folder)
         predictions = _candidate_predictions(train)
         return ranking.ranking_metrics(test, predictions, method=method, threshold=threshold)
 
@@ -159,18 +159,29 @@ def _on_recos(metric, with_features=False, **limits):
 
 
 def _evaluation_report(spark, folder):
-    train, test = features.modular_split(checkpoint(ratings_view(spark, folder)))
+    train, test = _split(spark, folder)
     return report.evaluation_report(train, test, baseline.predict_by_means(train, test), _recos(train))
 
 
 def _als(use):
     def query(spark, folder):
-        train, test = features.hash_split(checkpoint(ratings_view(spark, folder)))
+        train, test = features.hash_split(_ratings(spark, folder))
         return use(factorization.fit_als(train), train, test)
 
     return query
 
 
+def _by_factors(use):
+    """Scoring from factors that SQL can compute too: stored vectors, and their mean per user."""
+
+    def query(spark, folder):
+        train, test = _split(spark, folder)
+        items = item_features(spark, folder).withColumnRenamed("movieId", "id")
+        return use(factorization.mean_user_factors(train, items), items, train, test)
+
+    return query
+
+
 def _on_ratings(use):
     return lambda spark, folder: use(ratings_view(spark, folder))
 
@@ -188,7 +199,7 @@ def _on_train(use):
 
 
 def _on_stored_ratings(use):
-    return lambda spark, folder: use(checkpoint(ratings_view(spark, folder)))
+    return lambda spark, folder: use(_ratings(spark, folder))
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -209,7 +220,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_per_item": _on_ratings(features.ratings_per_item),
     "ratings_per_user": _on_ratings(features.ratings_per_user),
     "movie_age": _on_movies(features.movie_age),
-    "preprocess_ratings": _on_both(features.preprocess_ratings),
+    "preprocess_ratings": lambda spark, folder: features.preprocess_ratings(
+        _ratings(spark, folder), movies_view(spark, folder)
+    ),
     "train_test_split": _train_test_split,
     # Popularity and genres
     "popular_by_count": _on_both(popularity.popular_by_count, min_count=MIN_COUNT),
@@ -265,6 +278,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "user_pearson": _on_stored_ratings(neighbors.pearson_neighbors),
     "pearson_recommend": _on_stored_ratings(neighbors.pearson_recommend),
+    # Scoring from factors
+    "factor_predict": _by_factors(lambda users, items, train, test: factorization.factor_predict(users, items, test)),
+    "factor_topk_unseen": _by_factors(
+        lambda users, items, train, test: factorization.factor_top_k_unseen(users, items, train)
+    ),
     # Trained models
     "als_factors": _als(lambda model, train, test: factorization.als_factors(model)),
     "als_predict": _als(lambda model, train, test: factorization.als_predict(model, test)),

@@ -82,6 +82,10 @@ rating_scores AS (
          1 - avg((rating - prediction) ** 2) / var_pop(rating) AS rsquared,
          1 - var_samp(rating - prediction) / var_samp(rating) AS exp_var
   FROM test_predictions),
+user_factors AS (
+  SELECT "userId", list(x ORDER BY i) AS f FROM (
+    SELECT "userId", i, avg(f[i]) AS x
+    FROM train JOIN vectors USING ("movieId"), unnest(range(1, len(f) + 1)) AS t(i) GROUP BY 1, 2) GROUP BY 1),
 spread AS (
   SELECT -sum(p * log2(p)) AS distributional_coverage
   FROM (SELECT count(*) / (SELECT count(*) FROM lists) AS p FROM lists GROUP BY "movieId")),
@@ -351,6 +355,18 @@ FROM (SELECT a.i1, a.i2, t.sxy, x.s AS s1, y.s AS s2, n, n * x.q - x.s * x.s AS
 SELECT "userId", "movieId", round(predicted_rating, 6) AS predicted_rating, "rank" FROM unseen WHERE "rank" <= 10""",
             _pearson("userId", "movieId") + "," + _RECOMMENDED,
         ),
+        "factor_predict": _select("""
+SELECT "userId", "movieId", round(rating, 6) AS rating, "timestamp",
+       round(list_dot_product(u.f, v.f)::FLOAT::DOUBLE, 6) AS prediction
+FROM test JOIN user_factors u USING ("userId") JOIN vectors v USING ("movieId")"""),
+        "factor_topk_unseen": _select("""
+SELECT "userId", "movieId", round(prediction, 6) AS prediction, "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY "userId" ORDER BY prediction DESC, "movieId") AS "rank" FROM (
+    SELECT u."userId", v."movieId", list_dot_product(u.f, v.f)::FLOAT::DOUBLE AS prediction
+    FROM user_factors u CROSS JOIN vectors v
+    WHERE v."movieId" IN (SELECT "movieId" FROM train_items)
+      AND NOT EXISTS (SELECT 1 FROM train t WHERE t."userId" = u."userId" AND t."movieId" = v."movieId")))
+WHERE "rank" <= 10"""),
         "evaluation_report": _select(
             """
 SELECT round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(rsquared, 6) AS rsquared, round(exp_var, 6) AS exp_var,

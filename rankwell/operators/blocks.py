@@ -161,7 +161,7 @@ def pearson_cell(n_others: int, n: int, constant: float):
     return cell
 
 
-def factor_cell(rank: int, k: int | None, floor: float | None):
+def factor_cell(k: int | None, floor: float | None):
     """Cogroup function: each user's best unseen items by the product of factor vectors.
 
     The right side carries the item block and the cell's already rated pairs, if any.
@@ -171,9 +171,9 @@ def factor_cell(rank: int, k: int | None, floor: float | None):
         if left.empty or right.empty:
             return pd.DataFrame({"user": [], "item": [], "prediction": []})
         users = np.asarray(left["id"].iloc[0])
-        u = np.asarray(left["features"].iloc[0], dtype=float).reshape(-1, rank)
+        u = np.asarray(left["features"].iloc[0], dtype=float).reshape(len(users), -1)
         items = np.asarray(right["id"].iloc[0])
-        v = np.asarray(right["features"].iloc[0], dtype=float).reshape(-1, rank)
+        v = np.asarray(right["features"].iloc[0], dtype=float).reshape(len(items), -1)
         by_user, by_item = np.argsort(users), np.argsort(items)
         users, u, items, v = users[by_user], u[by_user], items[by_item], v[by_item]
 

@@ -51,3 +51,10 @@ def test_scan_reads_only_needed_columns(spark):
     # Another folder than the one whose ratings other tests hold in memory.
     plan = QUERIES["ratings_per_item"](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan and "o_orderdate" not in plan
+
+
+def test_large_tables_are_read_once(spark):
+    """Branches of one query share the stored ratings: no plan holds the order lines twice."""
+    for name in ("preprocess_ratings", "rating_metrics", "novelty", "unseen_candidates", "item_pairs", "catalog_coverage"):
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("lineitem.parquet") == 0, name
