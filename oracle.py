@@ -61,10 +61,10 @@ list_pairs AS (
   SELECT a."userId", a."movieId" AS i1, b."movieId" AS i2
   FROM lists a JOIN lists b ON a."userId" = b."userId" AND a."movieId" <= b."movieId"),
 intralist AS (
-  SELECT p."userId", avg(coalesce(s.sim, 0)) AS avg_il_sim
+  SELECT p."userId", avg(coalesce(s.sim, 0)) AS mean_similarity
   FROM list_pairs p LEFT JOIN sims s ON s.i1 = p.i1 AND s.i2 = p.i2 WHERE p.i1 <> p.i2 GROUP BY 1),
 intralist_features AS (
-  SELECT p."userId", avg(coalesce(s.sim, 0)) AS avg_il_sim
+  SELECT p."userId", avg(coalesce(s.sim, 0)) AS mean_similarity
   FROM list_pairs p LEFT JOIN feature_sims s ON s.i1 = p.i1 AND s.i2 = p.i2 WHERE p.i1 <> p.i2 GROUP BY 1),
 novelties AS (SELECT "movieId", -log2(n / (SELECT sum(n) FROM train_items)) AS item_novelty FROM train_items),
 serendipities AS (
@@ -182,7 +182,7 @@ FROM movies m JOIN item_stats s USING ("movieId") WHERE s.n >= 20 AND s.dev IS N
 
 
 def _five_numbers(source: str) -> str:
-    names = {"whislo": 0.0, "q1": 0.25, "med": 0.5, "q3": 0.75, "whishi": 1.0}
+    names = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
     quantiles = ", ".join(f"quantile_disc(n, {share}) AS {name}" for name, share in names.items())
     logs = ", ".join(f"round(ln({name}), 6) AS ln_{name}" for name in names)
     return _select(f"""
@@ -312,12 +312,12 @@ JOIN train USING ("userId", "movieId")"""),
         "cooccurrence_similarity": _select("""
 SELECT i1, i2, round(coalesce(sim, 0), 6) AS sim FROM asked LEFT JOIN sims USING (i1, i2)"""),
         "feature_similarity": _select("SELECT i1, i2, round(sim, 6) AS sim FROM asked JOIN feature_sims USING (i1, i2)"),
-        "intralist_similarity": _select('SELECT "userId", round(avg_il_sim, 6) AS avg_il_sim FROM intralist'),
+        "intralist_similarity": _select('SELECT "userId", round(mean_similarity, 6) AS mean_similarity FROM intralist'),
         "intralist_similarity_by_features": _select(
-            'SELECT "userId", round(avg_il_sim, 6) AS avg_il_sim FROM intralist_features'
+            'SELECT "userId", round(mean_similarity, 6) AS mean_similarity FROM intralist_features'
         ),
-        "user_diversity": _select('SELECT "userId", round(1 - avg_il_sim, 6) AS user_diversity FROM intralist'),
-        "diversity": _select("SELECT round(avg(1 - avg_il_sim), 6) AS diversity FROM intralist"),
+        "user_diversity": _select('SELECT "userId", round(1 - mean_similarity, 6) AS user_diversity FROM intralist'),
+        "diversity": _select("SELECT round(avg(1 - mean_similarity), 6) AS diversity FROM intralist"),
         "item_novelty": _select('SELECT "movieId", round(item_novelty, 6) AS item_novelty FROM novelties'),
         "novelty": _select("SELECT round(novelty, 6) AS novelty FROM reco_novelty"),
         "user_item_serendipity": _select("""
@@ -374,7 +374,7 @@ SELECT round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(rsquared, 6) AS rsqua
        round(ndcg_at_k, 6) AS ndcg_at_k, round(map, 6) AS map, round(map_at_k, 6) AS map_at_k,
        round(distributional_coverage, 6) AS distributional_coverage, round(catalog_coverage, 6) AS catalog_coverage,
        round((SELECT avg(user_serendipity) FROM user_serendipities), 6) AS serendipity, round(novelty, 6) AS novelty,
-       round((SELECT avg(1 - avg_il_sim) FROM intralist), 6) AS diversity
+       round((SELECT avg(1 - mean_similarity) FROM intralist), 6) AS diversity
 FROM rating_scores, ranking_scores, spread, coverage, reco_novelty""",
             _ranking_tables("recos", "prediction", "ranked WHERE place <= 10")
             + ',\nlists AS (SELECT "userId", "movieId", "rank" FROM recos)',

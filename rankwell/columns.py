@@ -16,6 +16,11 @@ PREDICTION = "prediction"
 RELEVANCE = "relevance"
 SIMILARITY = "sim"
 FEATURES = "features"
+ITEM_COUNT = "number_of_rating_per_movie"
+ITEM_MEAN = "average_rating_per_movie"
+ITEM_DEVIATION = "standard_deviation_rating_per_movie"
+USER_COUNT = "number_of_rating_per_user"
+USER_MEAN = "average_rating_per_user"
 
 DEFAULT_K = 10
 SEED = 42

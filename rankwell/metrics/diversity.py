@@ -74,7 +74,7 @@ def _intralist_by_pairs(train: DataFrame, lists: DataFrame, cols: Cols, large_gr
     sims = with_cosine(shared, item_counts(rows, cols.item), cols.item)
     # A pair of two popular items may stand in most lists.
     matched = spread_join(pairs, sims, ["i1", "i2"], "left", counts=listed.withColumnRenamed(cols.item, "i2"))
-    return matched.groupBy(cols.user).agg(F.avg(F.coalesce("sim", F.lit(0.0))).alias("avg_il_sim"))
+    return matched.groupBy(cols.user).agg(F.avg(F.coalesce("sim", F.lit(0.0))).alias("mean_similarity"))
 
 
 def _intralist_by_co_users(train: DataFrame, lists: DataFrame, cols: Cols) -> DataFrame:
@@ -103,7 +103,7 @@ def _intralist_by_co_users(train: DataFrame, lists: DataFrame, cols: Cols) -> Da
         sizes.filter("m > 1")
         .join(overlap, cols.user, "left")
         .join(diagonal, cols.user, "left")
-        .select(cols.user, mean.alias("avg_il_sim"))
+        .select(cols.user, mean.alias("mean_similarity"))
     )
 
 
@@ -125,13 +125,13 @@ def _intralist_by_features(lists: DataFrame, features: DataFrame, cols: Cols) ->
     # Cosines of all ordered pairs add up to the squared length of the summed unit vectors.
     sums = _vector_sums(lists, features, cols).filter("m > 1")
     between = F.coalesce(dot("v", "v") - F.col("known"), F.lit(0.0))
-    return sums.select(cols.user, (between / (F.col("m") * (F.col("m") - 1))).alias("avg_il_sim"))
+    return sums.select(cols.user, (between / (F.col("m") * (F.col("m") - 1))).alias("mean_similarity"))
 
 
 def user_diversity(train: DataFrame, recos: DataFrame, features: DataFrame | None = None, cols: Cols = DEFAULT_COLS, **limits) -> DataFrame:
     """One minus the intra-list similarity of each user."""
     similarity = intralist_similarity(train, recos, features, cols, **limits)
-    return similarity.select(cols.user, (1 - F.col("avg_il_sim")).alias("user_diversity"))
+    return similarity.select(cols.user, (1 - F.col("mean_similarity")).alias("user_diversity"))
 
 
 def diversity(train: DataFrame, recos: DataFrame, features: DataFrame | None = None, cols: Cols = DEFAULT_COLS, **limits) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankwell.columns import DEFAULT_COLS, SEED, Cols
+from rankwell.columns import DEFAULT_COLS, ITEM_COUNT, ITEM_DEVIATION, ITEM_MEAN, SEED, USER_COUNT, USER_MEAN, Cols
 from rankwell.functions.expressions import released_year
 from rankwell.skew import spread_join
 
@@ -13,17 +13,17 @@ from rankwell.skew import spread_join
 def ratings_per_item(ratings: DataFrame) -> DataFrame:
     """Count, mean and sample standard deviation of each item's ratings."""
     return ratings.groupBy("movieId").agg(
-        F.count("userId").alias("number_of_rating_per_movie"),
-        F.avg("rating").alias("average_rating_per_movie"),
-        F.stddev_samp("rating").alias("standard_deviation_rating_per_movie"),
+        F.count("userId").alias(ITEM_COUNT),
+        F.avg("rating").alias(ITEM_MEAN),
+        F.stddev_samp("rating").alias(ITEM_DEVIATION),
     )
 
 
 def ratings_per_user(ratings: DataFrame) -> DataFrame:
     """Count and mean of each user's ratings."""
     return ratings.groupBy("userId").agg(
-        F.count("userId").alias("number_of_rating_per_user"),
-        F.avg("rating").alias("average_rating_per_user"),
+        F.count("userId").alias(USER_COUNT),
+        F.avg("rating").alias(USER_MEAN),
     )
 
 

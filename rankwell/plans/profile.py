@@ -10,7 +10,7 @@ from rankwell.functions.expressions import genre_list
 from rankwell.operators.features import movie_age, ratings_per_item, ratings_per_user
 from rankwell.skew import spread_join
 
-_QUARTILES = {"whislo": 0.0, "q1": 0.25, "med": 0.5, "q3": 0.75, "whishi": 1.0}
+_QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
 
 def _one_row(*parts: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+# The fields of the two file formats.
 RATINGS_SCHEMA = StructType(
     [
         StructField("userId", LongType(), False),

@@ -65,7 +65,7 @@ def test_quantiles_equal_approx_quantile(spark, ratings, movies):
         counts = features.ratings_per_user(rows)
         want = counts.approxQuantile("number_of_rating_per_user", [0.0, 0.25, 0.5, 0.75, 1.0], 0)
         got = profile.five_number_users(rows).first()
-        assert [got[n] for n in ("whislo", "q1", "med", "q3", "whishi")] == want
+        assert [got[n] for n in ("min", "q1", "median", "q3", "max")] == want
     ten = spark.range(1, 11).select(F.col("id").alias("n"))
     assert profile.five_number_summary(ten, "n").first()[:5] == (1, 3, 5, 8, 10)
 

@@ -112,7 +112,7 @@ def test_feature_measures_by_brute_force(spark, skewed, lists):
         pairs = list(itertools.combinations(items, 2))
         if pairs:
             want[user] = sum(sim(a, b) for a, b in pairs) / len(pairs)
-    got = {r["userId"]: r["avg_il_sim"] for r in diversity.intralist_similarity(skewed, lists, table).collect()}
+    got = {r["userId"]: r["mean_similarity"] for r in diversity.intralist_similarity(skewed, lists, table).collect()}
     assert got.keys() == want.keys() and all(math.isclose(got[u], want[u], abs_tol=1e-9) for u in want)
 
     rows = diversity.user_item_serendipity(skewed, lists, table).collect()
