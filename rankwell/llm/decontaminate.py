@@ -216,3 +216,28 @@ def clean(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
     whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(name), F.col(f"`{names.get('text', 'text')}`").alias("text"))
     kept = scan(whole, items, [name], **{k: v for k, v in names.items() if k != "text"}).filter("n_hit = 0")
     return kept.select(*[F.col(f"`{name}`.`{c}`").alias(c) for c in docs.columns])
+
+
+_WORDS = (
+    "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+)
+ORACLE_SQL = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS ws FROM documents),
+i AS MATERIALIZED (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+sized AS MATERIALIZED (SELECT item_id, ws, least(len(ws), {WINDOW}) AS n FROM i WHERE len(ws) > 0),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, s, s + n - 1), ' ') AS w
+  FROM sized, unnest(range(1, len(ws) - n + 2)) AS t(s)),
+places AS MATERIALIZED (
+  SELECT doc_id, n, s, array_to_string(list_slice(ws, s, s + n - 1), ' ') AS w
+  FROM d CROSS JOIN (SELECT DISTINCT n FROM windows), unnest(range(1, len(ws) - n + 2)) AS t(s)),
+hits AS MATERIALIZED (SELECT doc_id, item_id, n, s FROM places JOIN windows USING (n, w)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(s, s + n)) AS t(p) GROUP BY 1),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY 1)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id
+"""

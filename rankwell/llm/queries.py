@@ -120,6 +120,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": decontaminate.ORACLE_SQL,
     "op5_quality": quality.ORACLE_SQL,
     "op6_warc": warc.ORACLE_SQL,
     "op7_url_filter": url_filter.ORACLE_SQL,
