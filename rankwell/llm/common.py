@@ -46,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to a shared folder and read again: computed once, no lineage left."""
     path = f"{shared_folder(df.sparkSession)}/table"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
