@@ -23,11 +23,10 @@ from pyspark.sql import functions as F
 from rankwell.llm.common import as_bytes, buffer_of, slices, stored, text_batches
 
 # Bytes of context, bits of a symbol (a byte, or END before and after every text), symbols.
-ORDER, SYMBOL_BITS, END = 4, 9, 256
+ORDER, SYMBOL_BITS, END = 5, 9, 256
 SYMBOLS = 257
-GRAM_BITS = SYMBOL_BITS * (ORDER + 1)
 # Text bytes of a batch, about; bytes turned into n-grams at once; n-grams a task folds at once.
-BATCH_BYTES, SLICE_BYTES, FOLD = 32 << 20, 1_000_000, 2_000_000
+BATCH_BYTES, SLICE_BYTES, FOLD = 48 << 20, 1_000_000, 2_000_000
 ROWS_OUT = 100_000
 # Keys of what a batch asks for: a word, the end of a text, or an n-gram.
 WORD_KEY, GRAM_KEY = b"w", b"g"
@@ -115,43 +114,38 @@ def log_probs(grams: DataFrame) -> DataFrame:
     distinct ones, without those that the longer context had; an unseen one costs D / (N + D)
     and goes on. Contexts never seen cost nothing. Below the empty context the symbols left are
     alike likely.
+
+    The levels are worked out from the shortest n-grams up, each as a table: what an n-gram
+    still costs once its context has failed (``rest``) is known from the n-gram one byte shorter.
+    A context has at most SYMBOLS followers, so that is the most a window holds.
     """
-    levels = []
-    seen = grams.filter("n > 0")
-    for order in range(ORDER, -1, -1):
+    levels = [grams.select("gram", "n")]
+    for order in range(ORDER - 1, -1, -1):
         mask = (1 << SYMBOL_BITS * (order + 1)) - 1
-        source = seen if order == ORDER else levels[-1]
-        levels.append(stored(source.groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n"))))
+        levels.append(stored(levels[-1].groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n"))))
     levels.reverse()  # now by order
-    out = grams.select("gram", F.col("n").alias(f"own{ORDER}"))
-    for order in range(ORDER, -1, -1):
-        level = levels[order].withColumn("context", F.shiftright("gram", SYMBOL_BITS))
-        sums = [F.sum("n").alias(f"all{order}"), F.count(F.lit(1)).alias(f"kinds{order}")]
-        if order:  # followers of the context, as the shorter context counts them
-            below = levels[order - 1].select(F.col("gram").alias("short"), F.col("n").alias("short_n"))
-            mask = (1 << SYMBOL_BITS * order) - 1
-            level = level.join(below, F.col("gram").bitwiseAND(mask) == F.col("short"))
-            sums.append(F.sum("short_n").alias(f"shorter{order}"))
-        contexts = level.groupBy("context").agg(*sums)
-        mask = (1 << SYMBOL_BITS * (order + 1)) - 1
-        key = F.shiftright(F.col("gram").bitwiseAND(mask), SYMBOL_BITS)
-        out = out.join(contexts, key == F.col("context"), "left").drop("context")
-        if order < ORDER:
-            counts = levels[order].select(F.col("gram").alias("at"), F.col("n").alias(f"own{order}"))
-            out = out.join(counts, F.col("gram").bitwiseAND(mask) == F.col("at"), "left").drop("at")
-    value = -F.log10(SYMBOLS - F.coalesce("kinds0", F.lit(0)))
-    for order in range(ORDER + 1):
-        followers, distinct = F.coalesce(f"all{order}", F.lit(0)), F.coalesce(f"kinds{order}", F.lit(0))
-        if order < ORDER:
-            followers = followers - F.coalesce(f"shorter{order + 1}", F.lit(0))
-            distinct = distinct - F.coalesce(f"kinds{order + 1}", F.lit(0))
-        total = F.log10(followers + distinct)
-        value = (
-            F.when(F.coalesce(f"own{order}", F.lit(0)) > 0, F.log10(f"own{order}") - total)
-            .when(distinct > 0, F.log10(distinct) - total + value)
-            .otherwise(value)
+    context = Window.partitionBy(F.shiftright("gram", SYMBOL_BITS))
+    followers, distinct = F.sum("n").over(context).alias("N_"), F.sum((F.col("n") > 0).cast("long")).over(context).alias("D_")
+    below = levels[0].select("gram", "n", followers, distinct).withColumn("rest", -F.log10(SYMBOLS - F.col("D_")))
+    for order in range(1, ORDER + 1):
+        mask = (1 << SYMBOL_BITS * order) - 1
+        shorter = below.select(*[F.col(c).alias(f"short_{c}") for c in ("gram", "n", "N_", "D_", "rest")])
+        joined = levels[order].join(shorter, F.col("gram").bitwiseAND(mask) == F.col("short_gram"))
+        excluded = F.sum(F.when(F.col("n") > 0, F.col("short_n")).otherwise(0)).over(context).alias("E_")
+        placed = joined.select("gram", "n", "short_n", "short_N_", "short_D_", "short_rest", followers, distinct, excluded)
+        left = F.col("short_D_") - F.col("D_")
+        total = F.log10(F.col("short_N_") - F.col("E_") + left)
+        rest = (
+            F.when(F.col("short_n") > 0, F.log10("short_n") - total)
+            .when(left > 0, F.log10(left) - total + F.col("short_rest"))
+            .otherwise(F.col("short_rest"))
         )
-    return out.select("gram", value.alias("logp"))
+        below = placed.select("gram", "n", "N_", "D_", rest.alias("rest"))
+        if order < ORDER:
+            below = stored(below)
+    total = F.log10(F.col("N_") + F.col("D_"))
+    value = F.when(F.col("n") > 0, F.log10("n") - total).when(F.col("D_") > 0, F.log10("D_") - total + F.col("rest"))
+    return below.select("gram", value.otherwise(F.col("rest")).alias("logp"))
 
 
 def _key(gram: Column) -> Column:
@@ -245,7 +239,7 @@ def score(docs: DataFrame, learns: Column, id_col: str = "doc_id", text: str = "
 
     ``learns`` tells the rows whose texts teach both models; null counts as false. Null texts
     are empty. ``score`` is the log10 probability of the bytes and the end of the text under
-    the n-gram trie, null only never: with nothing learned every symbol is alike likely.
+    the n-gram trie; with nothing learned every symbol is alike likely.
     ``base_score`` is that of the words (ASCII white space separates, A-Z lower-cased) and one
     end per text under smoothed word counts. Repeated ids keep a row each; other columns go.
     """
