@@ -157,8 +157,8 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: dict[int, dict[bytes, int]] = {}
     grams: dict[int, _Grams] = {}
     for rows in batches:
-        texts, learns = as_bytes(rows.column(1)), rows.column(2).to_numpy(zero_copy_only=False).astype(bool)
-        numbers = rows.column(0).to_numpy()
+        texts, learns = as_bytes(rows.column("text")), rows.column("learns").to_numpy(zero_copy_only=False).astype(bool)
+        numbers = rows.column("batch").to_numpy()
         for number in np.unique(numbers).tolist():
             at = np.flatnonzero(numbers == number)
             mine = texts.take(pa.array(at))
@@ -255,7 +255,8 @@ def score(docs: DataFrame, learns: Column, id_col: str = "doc_id", text: str = "
     parts = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
     number = F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int")
     dealt = rows.withColumn("batch", number).repartition(parts, "batch")
-    asked = dealt.select("batch", "text", "learns").mapInArrow(_asked, "batch int, key binary, value double")
+    # All columns, though the ids are not looked at: so both uses of the texts share one shuffle.
+    asked = dealt.mapInArrow(_asked, "batch int, key binary, value double")
     told = probs.select(F.lit(None).cast("int").alias("batch"), _key(F.col("gram")).alias("key"), F.col("logp").alias("value"))
     same = Window.partitionBy("key")
     answers = (
