@@ -20,15 +20,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without a letter, or without text, go.
+    """Documents whose text fits a language, and fits it no worse than its label's.
 
-    The classifier learns from the documents' own labels; null labels teach nothing. Where no
-    document has a label there is nothing to tell languages by, and those without a letter go.
+    The classifier learns from the documents' own labels; null labels teach nothing and are not
+    contradicted. Where no document has a label there is nothing to tell languages by. Documents
+    without a letter, or without text, go in any case.
     """
-    model = language_id.fit(docs)
-    if not model.languages:
-        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    return language_id.fitting(docs, language_id.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,10 @@ ORDERS, BUCKET_BITS, SMOOTHING = 3, 15, 0.5
 UNKNOWN = "und"
 # A table of more languages than this is refused: the matrix is sent to every worker.
 MAX_LANGUAGES = 1000
+# A text fits no language if its n-grams are on average UNLIKELY nats less likely than the
+# language's own, and contradicts its label if another language makes them CONTRADICTED nats more
+# likely. Labels learned from fewer than SURE n-grams per unit of smoothing are not contradicted.
+UNLIKELY, CONTRADICTED, SURE = 2.5, 1.25, 10
 SLICE_BYTES = 1_000_000
 # Numbers that mix the characters of an n-gram, odd and of 64 bits.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -75,13 +79,19 @@ def counted(rows: DataFrame, text: str, lang: str, bits: int = BUCKET_BITS) -> D
 
 
 class Model:
-    """Languages and the log probability of each bucket (buckets x languages)."""
+    """Languages and the log probability of each bucket (buckets x languages).
+
+    ``expected`` is the mean log probability of a language's own n-grams, ``sure`` whether it was
+    learned from enough of them to be contradicted.
+    """
 
     def __init__(self, languages: list[str], counts: np.ndarray, smoothing: float = SMOOTHING):
         self.languages = languages
         self.bits = counts.shape[0].bit_length() - 1
         smooth = counts + smoothing
         self.logs = np.log(smooth / smooth.sum(axis=0)).astype(np.float32) if languages else np.zeros((counts.shape[0], 0), np.float32)
+        self.expected = (np.exp(self.logs, dtype=np.float64) * self.logs).sum(axis=0)
+        self.sure = counts.sum(axis=0) >= SURE * smoothing * len(counts)
 
     def totals(self, texts: list[bytes]) -> np.ndarray:
         """Log likelihood of each text (rows) in each language, and its n-grams' number last."""
@@ -152,6 +162,42 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return with_struct(docs, predict(docs[f"`{text}`"]))
 
 
+def fitting(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Rows of ``docs`` with a letter, whose text fits some language and does not contradict ``lang``.
+
+    Texts go whose n-grams are on average more than ``UNLIKELY`` nats below what the best language
+    expects of its own, and texts that another language makes more than ``CONTRADICTED`` nats an
+    n-gram likelier than their label does. A null label, or one the model has not learned or is
+    not sure of, contradicts nothing. A model without languages leaves all texts with a letter.
+    """
+    text_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def fits(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        model = shared.value
+        number = {name: i for i, name in enumerate(model.languages)}
+        step = max(1000, 4 * SLICE_BYTES // max(4, len(number)))
+        for texts, labels in batches:
+            out: list[bool] = []
+            for at, part in slices(as_bytes(texts), step):
+                raw = part.to_pylist()
+                totals = totals_of(model, raw, step)
+                for i, (t, label) in enumerate(zip(raw, labels.slice(at, len(raw)).to_pylist())):
+                    lettered = any(map(str.isalpha, t.decode("utf-8", "replace")))
+                    if not number or not lettered:
+                        out.append(lettered)
+                        continue
+                    row = totals[i, :-1] / totals[i, -1]
+                    best, own = int(row.argmax()), number.get(label)
+                    likely = row[best] >= model.expected[best] - UNLIKELY
+                    contradicted = own is not None and model.sure[own] and row[best] - row[own] > CONTRADICTED
+                    out.append(bool(likely and not contradicted))
+            yield pa.array(out, pa.bool_())
+
+    return docs.filter(fits(docs[f"`{text}`"], docs[f"`{lang}`"]))
+
+
 EVIDENCE = 100
 
 

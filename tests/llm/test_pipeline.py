@@ -1,5 +1,6 @@
 """The pipeline against the stages' brute-force versions, one after another."""
 
+import random
 
 import numpy as np
 import public_tokenizers
@@ -42,3 +43,24 @@ def test_stages_keep_columns_and_awkward_rows(spark, awkward, empty):
             assert out.columns == docs.columns
             assert out.count() <= docs.count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
+
+
+def test_language_stage_drops_gibberish_and_mislabelled_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    texts = {lang: [r.text for r in clean.filter(clean.lang == lang).orderBy("doc_id").limit(3).collect()] for lang in ("en", "de")}
+    rnd = random.Random(5)
+
+    def noise(letters):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(3, 8))) for _ in range(100))
+
+    bad = [(noise("abcdefghijklmnopqrstuvwxyz"), "en"), (noise("asdfghjkl"), None), (noise("αβγδεζηθικλμνξοπρστυφχψω"), None)]
+    bad += [(t, "de") for t in texts["en"]] + [(t, "en") for t in texts["de"]]
+    good = [(t, None) for t in texts["en"] + texts["de"]]
+    rows = [(-i, t, lang, "planted", len(t)) for i, (t, lang) in enumerate(bad + good, 1)]
+    planted = spark.createDataFrame(rows, clean.schema)
+    everything = clean.unionByName(planted)
+    assert corpus_pipeline.quality_rules(spark, planted, SMALL).count() == len(rows)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, everything, SMALL).collect()}
+    assert {i for i in kept if i < 0} == {-i for i in range(len(bad) + 1, len(rows) + 1)}
+    assert {r.doc_id for r in clean.collect()} <= kept
