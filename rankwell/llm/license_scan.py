@@ -9,6 +9,7 @@ Short phrases are templates too, found wherever they end as a suffix of the runn
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 from functools import cache
@@ -174,7 +175,8 @@ class Automaton:
         """Best spans (template, start, end, words covered), one for each chain of blocks.
 
         A block joins the chain before it in text and template that covers most, if at most
-        MAX_GAP words of text lie between. Chains that overlap give way to the fullest one.
+        MAX_GAP words of text lie between. Chains that overlap give way to the fullest one, of
+        equals to the first; blocks that no span reaches are chained again among themselves.
         """
         spans = []
         by_template = defaultdict(list)
@@ -182,25 +184,39 @@ class Automaton:
             by_template[template].append((start, at, size))
         for template, own in by_template.items():
             own.sort()
-            best: list[tuple[int, int]] = []  # words covered and first word of the chain that ends here
-            longest = max(size for _, _, size in own)
-            for i, (start, at, size) in enumerate(own):
-                covered, first = size, start
-                for j in range(i - 1, -1, -1):
-                    s, a, n = own[j]
-                    if start - s > longest + MAX_GAP:
-                        break
-                    if s + n <= start <= s + n + MAX_GAP and a + n <= at and best[j][0] + size > covered:
-                        covered, first = best[j][0] + size, best[j][1]
-                best.append((covered, first))
-            free = -1
-            ranked = sorted(((first, -c, start + size) for (c, first), (start, _, size) in zip(best, own)))
-            for first, c, end in ranked:
-                if first > free:
-                    spans.append((template, first, end, -c))
-                    free = end - 1
+            taken: list[tuple[int, int]] = []  # start and end of the spans of this template, by start
+            while own:
+                for covered, first, end in self._fullest(own, taken):
+                    i = bisect_left(taken, (first,))
+                    if (i == len(taken) or end <= taken[i][0]) and (i == 0 or taken[i - 1][1] <= first):
+                        spans.append((template, first, end, covered))
+                        insort(taken, (first, end))
+                own = [b for b in own if not self._reached(b, taken)]
         return spans
 
+    @staticmethod
+    def _reached(block: tuple[int, int, int], taken: list[tuple[int, int]]) -> bool:
+        i = bisect_left(taken, (block[0] + block[2],))
+        return i > 0 and taken[i - 1][1] > block[0]
+
+    @staticmethod
+    def _fullest(own: list[tuple[int, int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(words covered, first word, end) of the best chain to each block, the fullest first; none crosses ``taken``."""
+        best: list[tuple[int, int]] = []  # words covered and first word of the chain that ends here
+        longest = max(size for _, _, size in own)
+        part = [bisect_right(taken, (start,)) for start, _, _ in own]
+        for i, (start, at, size) in enumerate(own):
+            covered, first = size, start
+            for j in range(i - 1, -1, -1):
+                s, a, n = own[j]
+                if start - s > longest + MAX_GAP or part[j] != part[i]:
+                    break
+                if s + n <= start <= s + n + MAX_GAP and a + n <= at and best[j][0] + size > covered:
+                    covered, first = best[j][0] + size, best[j][1]
+            best.append((covered, first))
+        ranked = [(c, first, start + size) for (c, first), (start, _, size) in zip(best, own)]
+        return sorted(ranked, key=lambda x: (-x[0], x[1], x[2]))
+
 
 @cache
 def _automaton(templates: tuple[tuple[str, str], ...], phrases: tuple[tuple[str, str], ...]) -> Automaton:

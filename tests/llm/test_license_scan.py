@@ -68,6 +68,14 @@ def test_chain_bridges_small_changes(spark):
     assert [(s.label, s.coverage) for s in spans[3] if s.coverage >= 0.8][0] == ("mit", 1.0)
 
 
+def test_a_weak_early_chain_gives_way_to_a_fuller_one():
+    machine = license_scan.Automaton([("t", "w1 w2 w3 w4 w5 w6 w7 w8")], {})
+    text = "w1 w2 w3 w1 w2 w3 w4 w5 w6 w7 x w6 w7 w8"
+    _, blocks = machine.scan(text.encode().split())
+    assert sorted(blocks) == [(0, 0, 0, 3), (0, 3, 0, 7), (0, 11, 5, 3)]
+    assert sorted(machine.chain(blocks)) == [(0, 0, 3, 3), (0, 3, 10, 7), (0, 11, 14, 3)]
+
+
 def test_awkward_rows(awkward):
     rows = license_scan.scan(awkward.withColumn("spans", F.lit(1))).collect()
     assert len(rows) == awkward.count()
