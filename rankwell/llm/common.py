@@ -17,6 +17,10 @@ WORD_TABLE = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20
     for c in range(256)
 )
+# Words between white space: A-Z lower-cased, all else as it is.
+SPACED_TABLE = bytes(
+    c + 32 if 0x41 <= c <= 0x5A else 0x20 if c == 0x20 or 0x09 <= c <= 0x0D else c for c in range(256)
+)
 # Odd numbers that make word hashes: a base, its inverse modulo 2 ** 64, and one to spread bits.
 _BASE, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -110,9 +114,13 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """Hash, text number, start and end of every word, and the lower-cased bytes they lie in."""
-    joined = b"\n".join(texts).translate(WORD_TABLE)
+def hashed_words(texts: list[bytes], table: bytes = WORD_TABLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Hash, text number, start and end of every word, and the lower-cased bytes they lie in.
+
+    ``table`` lower-cases bytes and turns those that separate words, a line feed among them, into
+    blanks. Hashes are well spread, but not proof against chosen words.
+    """
+    joined = b"\n".join(texts).translate(table)
     data = np.frombuffer(joined, np.uint8)
     inside = np.concatenate([[False], data != 0x20, [False]])
     turns = np.flatnonzero(inside[1:] != inside[:-1])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe, decontaminate, language_id, license_scan, lm_scoring, quality, simhash, toxicity, url_filter, warc
+from rankwell.llm import bpe, decontaminate, language_id, license_scan, lm_scoring, quality, simhash, toxicity, url_filter, warc, whitening
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -106,6 +106,10 @@ def _simhash(spark, folder):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def _whitening(spark, folder):
+    return whitening.components(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_lm_scoring": _lm_scoring,
     "op2_license_scan": _license_scan,
@@ -117,6 +121,7 @@ QUERIES = {
     "op8_toxicity": _toxicity,
     "op9_language_id": _language_id,
     "op10_simhash": _simhash,
+    "op13_whitening": _whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
