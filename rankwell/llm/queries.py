@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from rankwell.llm import bpe, decontaminate, language_id, license_scan, lm_scoring, quality, simhash, toxicity, url_filter, warc, whitening
+from rankwell.llm import bpe, decontaminate, language_id, license_scan, lm_scoring, minhash, quality, ranked_search, simhash, toxicity, url_filter, warc, whitening
 from rankwell.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -106,6 +106,15 @@ def _simhash(spark, folder):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def _ranked_search(spark, folder):
+    docs, items = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark")
+    return ranked_search.search(docs, items)
+
+
+def _minhash(spark, folder):
+    return minhash.components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def _whitening(spark, folder):
     return whitening.components(table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
@@ -121,6 +130,8 @@ QUERIES = {
     "op8_toxicity": _toxicity,
     "op9_language_id": _language_id,
     "op10_simhash": _simhash,
+    "op11_ranked_search": _ranked_search,
+    "op12_minhash": _minhash,
     "op13_whitening": _whitening,
 }
 
@@ -129,4 +140,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_quality": quality.ORACLE_SQL,
     "op6_warc": warc.ORACLE_SQL,
     "op7_url_filter": url_filter.ORACLE_SQL,
+    "op11_ranked_search": ranked_search.ORACLE_SQL,
+    "op12_minhash": minhash.ORACLE_SQL,
 }
