@@ -19,7 +19,8 @@ import oracle  # noqa: E402
 from rankwell.metrics import diversity, ranking, rating  # noqa: E402
 from rankwell.operators import factorization, features, genres, neighbors, popularity, similarity  # noqa: E402
 from rankwell.plans import baseline, profile, report  # noqa: E402
-from rankwell.skew import checkpoint, spread_join  # noqa: E402
+from rankwell.skew import checkpoint, scratch_folder, spread_join  # noqa: E402
+from rankwell.sources import files, readers  # noqa: E402
 from rankwell.sources.tables import item_features, movies_view, ratings_view  # noqa: E402
 
 try:
@@ -113,10 +114,9 @@ def _train_test_split(spark, folder):
 
 
 def _seen_overlap(spark, folder):
-    """Held-out rows as recommendations, with some rows that each user has already rated."""
-    train, test = _split(spark, folder)
-    listed = test.unionByName(train.filter("(userId + movieId) % 5 = 0"))
-    return diversity.seen_overlap(train, listed)
+    """All ratings as recommendations: the training rows among them have been rated already."""
+    ratings = _ratings(spark, folder)
+    return diversity.seen_overlap(features.modular_split(ratings)[0], ratings)
 
 
 def _ranking(method, threshold=None):
@@ -182,6 +182,30 @@ def _by_factors(use):
     return query
 
 
+def _csv_file(which):
+    return lambda spark, folder: readers.checked_csv_dataset(spark, files.write_csv_dataset(spark, folder))[which].good
+
+
+def _dat_file(which):
+    return lambda spark, folder: readers.checked_dat_dataset(spark, files.write_dat_dataset(spark, folder))[which].good
+
+
+def _rejected_lines(spark, folder):
+    """Lines of the four files that fit no schema, with how often and why."""
+    csv = readers.checked_csv_dataset(spark, files.write_csv_dataset(spark, folder))
+    dat = readers.checked_dat_dataset(spark, files.write_dat_dataset(spark, folder))
+    parts = zip(("ratings.csv", "movies.csv", "ratings.dat", "movies.dat"), (*csv, *dat))
+    named = [part.rejected.select(F.lit(name).alias("file"), "line", "reason") for name, part in parts]
+    return named[0].union(named[1]).union(named[2]).union(named[3])
+
+
+def _inferred_csv(spark, folder):
+    """Ratings under the types that the reader finds, from a file without bad lines."""
+    path = f"{scratch_folder(spark, 'inferred')}/ratings.csv"
+    ratings_view(spark, folder).write.option("header", True).csv(path)
+    return readers.read_inferred(spark, path)
+
+
 def _on_ratings(use):
     return lambda spark, folder: use(ratings_view(spark, folder))
 
@@ -205,6 +229,13 @@ def _on_stored_ratings(use):
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratings_view": ratings_view,
     "movies_view": movies_view,
+    # Files
+    "read_csv_ratings": _csv_file(0),
+    "read_csv_movies": _csv_file(1),
+    "read_dat_ratings": _dat_file(0),
+    "read_dat_movies": _dat_file(1),
+    "read_inferred_ratings": _inferred_csv,
+    "rejected_lines": _rejected_lines,
     # Profiling
     "dataset_sizes": _on_both(profile.dataset_sizes),
     "rating_timespan": _on_ratings(profile.rating_timespan),
@@ -251,6 +282,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # The same through the path for long histories, whatever their length.
     "cooccurrence_similarity_long_histories": _cooccurrence(large_group_rows=5),
     "feature_similarity": _feature_similarity,
+    "feature_neighbors": lambda spark, folder: similarity.feature_neighbors(item_features(spark, folder)).best,
     # Diversity, novelty, serendipity, coverage
     "intralist_similarity": _on_recos(diversity.intralist_similarity),
     "intralist_similarity_long_lists": _on_recos(diversity.intralist_similarity, long_list_rows=3),
@@ -269,7 +301,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distributional_coverage": _on_lists(lambda train, lists: diversity.distributional_coverage(lists)),
     # Pearson
     "pearson_neighbors_large_entities": _on_stored_ratings(
-        lambda ratings: neighbors.pearson_neighbors(ratings, entity="movieId", other="userId", large_entity_rows=32)
+        # Every user with more than 32 ratings is cut into tiles.
+        lambda ratings: neighbors.pearson_neighbors(ratings, entity="movieId", other="userId", tile_rows=32)
     ),
     "rating_matrix": _on_ratings(neighbors.rating_matrix),
     "item_pearson": _item_pearson,
@@ -277,6 +310,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda ratings: neighbors.pearson_neighbors(ratings, entity="movieId", other="userId")
     ),
     "user_pearson": _on_stored_ratings(neighbors.pearson_neighbors),
+    # Of the held-out ratings, which are few per user, so that most best partners share none.
+    "pearson_neighbors_complete": lambda spark, folder: neighbors.pearson_neighbors(
+        _split(spark, folder)[1], 100, entity="movieId", other="userId", complete=True
+    ),
     "pearson_recommend": _on_stored_ratings(neighbors.pearson_recommend),
     # Scoring from factors
     "factor_predict": _by_factors(lambda users, items, train, test: factorization.factor_predict(users, items, test)),

@@ -209,6 +209,27 @@ neighbors AS (
 """
 
 
+# All partners of each held-out item, dense; without a common user the correlation is that of the sums.
+_COMPLETE = """
+lengths AS (SELECT count(DISTINCT "userId") AS n FROM test),
+sums AS (
+  SELECT e, s, v, round(s / sqrt(v), 12) AS u FROM (
+    SELECT "movieId" AS e, sum(rating) AS s, any_value(n) * sum(rating * rating) - sum(rating) ** 2 AS v,
+           1e-12 * any_value(n) * sum(rating * rating) AS least
+    FROM test, lengths GROUP BY 1) WHERE v > least),
+products AS (
+  SELECT a."movieId" AS e, b."movieId" AS neighbor, sum(a.rating * b.rating) AS sxy
+  FROM test a JOIN test b ON a."userId" = b."userId" AND a."movieId" <> b."movieId" GROUP BY 1, 2),
+correlations AS (
+  SELECT x.e, y.e AS neighbor, CASE WHEN sxy IS NULL THEN -x.u * y.u ELSE (n * sxy - x.s * y.s) / sqrt(x.v * y.v) END AS r
+  FROM sums x CROSS JOIN sums y CROSS JOIN lengths LEFT JOIN products p ON p.e = x.e AND p.neighbor = y.e WHERE x.e <> y.e),
+nearest AS (
+  SELECT * FROM (
+    SELECT e, neighbor, r, row_number() OVER (PARTITION BY e ORDER BY r DESC, neighbor) AS "rank" FROM correlations)
+  WHERE "rank" <= 100)
+"""
+
+
 _RECOMMENDED = """
 weighted AS (
   SELECT n.e AS "userId", t."movieId", round(sum(t.rating * n.r) / sum(n.r), 9) AS predicted_rating
@@ -220,6 +241,26 @@ unseen AS (
 """
 
 
+_RATINGS = _select('SELECT "userId", "movieId", round(rating, 6) AS rating, "timestamp" FROM ratings')
+
+
+def _rejected(kind: str, sep: str) -> str:
+    """The bad lines that the written files hold, and why they are bad."""
+    lines = {
+        "'u' || k || '~1~3.5~100'": "no valid userId",
+        "k || '~2~four~later'": "no valid rating, timestamp",
+        "k || '~3~3.5'": "no valid timestamp",
+        "k || '~4~3.5~100~more'": "wrong number of fields",
+        "k || '~5~~100'": "no valid rating",
+    }
+    ratings = [f"SELECT 'ratings.{kind}' AS file, {line} AS line, '{why}' AS reason FROM (SELECT n_nationkey::VARCHAR AS k FROM nation)" for line, why in lines.items()]
+    movies = [
+        f"SELECT 'movies.{kind}', r_name || '~A Title (1999)~Drama', 'no valid movieId' FROM region",
+        f"SELECT 'movies.{kind}', r_regionkey::VARCHAR || '~No Genre (1999)', 'no valid genres' FROM region",
+    ]
+    return " UNION ALL ".join([*ratings, *movies]).replace("~", sep)
+
+
 # Queries that take another path to the same result.
 _SAME = {
     "cooccurrence_similarity_long_histories": "cooccurrence_similarity",
@@ -238,6 +279,15 @@ def _statements() -> dict[str, str]:
     return {
         "ratings_view": _select('SELECT "userId", "movieId", round(rating, 6) AS rating, "timestamp" FROM ratings'),
         "movies_view": _select("SELECT * FROM movies"),
+        "read_csv_ratings": _RATINGS,
+        "read_dat_ratings": _RATINGS,
+        # Ids are found to be integers, as all of them are small.
+        "read_inferred_ratings": _RATINGS,
+        "read_csv_movies": _select(
+            """SELECT "movieId", replace(title, ' (', ', The "Best" (') AS title, genres FROM movies"""
+        ),
+        "read_dat_movies": _select("SELECT * FROM movies"),
+        "rejected_lines": " UNION ALL ".join(_rejected(kind, sep) for kind, sep in (("csv", ","), ("dat", "::"))),
         "dataset_sizes": _select("""
 SELECT (SELECT count(*) FROM ratings) AS number_of_ratings, (SELECT count(*) FROM user_stats) AS number_of_users,
        (SELECT count(*) FROM item_stats) AS number_of_rated_movies, (SELECT count(*) FROM movies) AS number_of_movies"""),
@@ -305,13 +355,15 @@ FROM rating_scores"""),
         ),
         "ranking_metrics_by_timestamp": _ranking("candidate_predictions", '"timestamp"'),
         "seen_overlap": _select("""
-SELECT count(*) AS overlap FROM (
-  SELECT "userId", "movieId" FROM test UNION SELECT "userId", "movieId" FROM train WHERE ("userId" + "movieId") % 5 = 0)
-JOIN train USING ("userId", "movieId")"""),
+SELECT count(*) AS overlap FROM (SELECT DISTINCT "userId", "movieId" FROM ratings) JOIN train USING ("userId", "movieId")"""),
         "item_pairs": _select("SELECT * FROM list_pairs"),
         "cooccurrence_similarity": _select("""
 SELECT i1, i2, round(coalesce(sim, 0), 6) AS sim FROM asked LEFT JOIN sims USING (i1, i2)"""),
         "feature_similarity": _select("SELECT i1, i2, round(sim, 6) AS sim FROM asked JOIN feature_sims USING (i1, i2)"),
+        "feature_neighbors": _select("""
+SELECT i1 AS "movieId", i2 AS neighbor, round(sim, 6) AS sim, "rank" FROM (
+  SELECT i1, i2, round(sim, 9) AS sim, row_number() OVER (PARTITION BY i1 ORDER BY round(sim, 9) DESC, i2) AS "rank"
+  FROM feature_sims WHERE i1 <> i2) WHERE "rank" <= 10"""),
         "intralist_similarity": _select('SELECT "userId", round(mean_similarity, 6) AS mean_similarity FROM intralist'),
         "intralist_similarity_by_features": _select(
             'SELECT "userId", round(mean_similarity, 6) AS mean_similarity FROM intralist_features'
@@ -347,6 +399,9 @@ FROM (SELECT a.i1, a.i2, t.sxy, x.s AS s1, y.s AS s2, n, n * x.q - x.s * x.s AS
         "pearson_neighbors": _select(
             'SELECT e AS "movieId", neighbor, round(r, 6) AS r, "rank" FROM neighbors', _pearson("movieId", "userId")
         ),
+        "pearson_neighbors_complete": _select(
+            'SELECT e AS "movieId", neighbor, round(r, 6) AS r, "rank" FROM nearest', _COMPLETE
+        ),
         "user_pearson": _select(
             'SELECT e AS "userId", neighbor, round(r, 6) AS r, "rank" FROM neighbors', _pearson("userId", "movieId")
         ),

@@ -6,29 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwell.columns import DEFAULT_COLS, DEFAULT_K, Cols
-from rankwell.skew import ranked, spread_join
+from rankwell.skew import first_gaps, ranked, spread_join
 
 
 def unseen_candidates(train: DataFrame, k: int = 50, cols: Cols = DEFAULT_COLS) -> DataFrame:
     """Each user's ``k`` most rated items among all the user has not rated, ties by item.
 
     (user, item, prediction, rank), the prediction being the item's rating count. Exact over the
-    whole catalogue, yet no user is paired with it: items are ranked once by count. If the
-    user's seen items have the ranks r_1 < r_2 < ..., then r_j - j unseen items come before the
-    j-th, and the t-th unseen item has rank t plus the number of seen ones with r_j - j < t.
-    Users who have rated all items drop out, others get what is left.
+    whole catalogue, yet no user is paired with it: items are ranked once by count, and a user's
+    unseen ones are the gaps between the ranks of the seen ones. Users who have rated all items
+    drop out, others get what is left.
     """
     counts = train.groupBy(cols.item).agg(F.count(F.lit(1)).alias("n"))
+    users = train.groupBy(cols.user).agg(F.count(F.lit(1)).alias("n"))
     order = [F.desc("n"), F.asc(cols.item)]
     items = ranked(counts.withColumn("__all", F.lit(0)), "__all", order, "__r").drop("__all")
+    # No user's first k gaps lie beyond k places more than anybody has rated.
+    items = items.filter(F.col("__r") <= k + users.agg(F.max("n")).scalar())
     seen = spread_join(train.select(cols.user, cols.item), items.select(cols.item, "__r"), cols.item, counts=counts)
-    placed = ranked(seen.select(cols.user, "__r"), cols.user, [F.asc("__r")], "__j")
-    # Of the seen items only how many have each number of unseen ones before them matters.
-    before = placed.groupBy(cols.user, F.least(F.col("__r") - F.col("__j"), F.lit(k)).alias("__u")).agg(F.count(F.lit(1)).alias("__n"))
-    known = F.collect_list(F.when(F.col("__u") < k, F.struct(F.col("__u").alias("u"), F.col("__n").alias("n"))))
-    users = before.groupBy(cols.user).agg(known.alias("__seen")).withColumn("rank", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(k).cast("long"))))
-    ahead = F.aggregate("__seen", F.lit(0).cast("long"), lambda total, s: total + F.when(s["u"] < F.col("rank"), s["n"]).otherwise(0))
-    wanted = users.select(cols.user, "rank", (F.col("rank") + ahead).alias("__r"))
+    wanted = first_gaps(seen, users, cols.user, "__r", k)
     offered = items.select("__r", cols.item, F.col("n").cast("double").alias(cols.prediction))
     return spread_join(wanted, offered, "__r").select(cols.user, cols.item, cols.prediction, "rank")
 

@@ -15,7 +15,7 @@ HOT_SHARE = 100_000
 # (default of spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT_K = 1000
 
-_SLICES, _SLICE = "__slices", "__slice"
+_SLICES, _SLICE, _COPY = "__slices", "__slice", "__copy"
 
 
 def hot_keys(counts: DataFrame, key: str, n: str, slice_rows: int = SLICE_ROWS, share: int = HOT_SHARE) -> DataFrame:
@@ -36,12 +36,17 @@ def spread_join(
     counts: DataFrame | None = None,
     n: str = "n",
     slice_rows: int = SLICE_ROWS,
+    repeated: bool = False,
 ) -> DataFrame:
     """``rows`` joined to ``side`` on ``on``, each hot key of ``rows`` cut into slices.
 
     The slice is a hash of the whole row, so a retried task cuts the same way. ``side`` is
     copied once per slice of its hot keys. With several columns the last one tells hot keys.
 
+    Rows that are equal in all columns have one hash. Where a hot key may hold many of those,
+    ``repeated`` counts them first and deals the copies out over the slices, at the price of reading
+    ``rows`` twice.
+
     Slices only balance the work, so ``counts`` (last column of ``on``, n) may be any estimate
     of the rows per key, such as the counts of a related table; without it ``rows`` are
     counted. ``how`` may be inner, left, left_semi or left_anti.
@@ -52,17 +57,32 @@ def spread_join(
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(n))
     hot = F.broadcast(hot_keys(counts, key, n, slice_rows))
     slices = F.coalesce(F.col(_SLICES), F.lit(1))
-    cut = (
-        rows.join(hot, key, "left")
-        .withColumn(_SLICE, F.pmod(F.xxhash64(*rows.columns), slices).cast("int"))
-        .drop(_SLICES)
-    )
+    place = F.pmod(F.xxhash64(*rows.columns), slices).cast("int")
+    if repeated:
+        cut = _dealt(rows, hot, key)
+    else:
+        cut = rows.join(hot, key, "left").withColumn(_SLICE, place).drop(_SLICES)
     copied = (
         side.join(hot, key, "left")
         .withColumn(_SLICE, F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop(_SLICES)
     )
-    return cut.join(copied, [*on, _SLICE], how).drop(_SLICE)
+    joined = cut.join(copied, [*on, _SLICE], how).drop(_SLICE)
+    if repeated:
+        joined = joined.withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPY)))).drop(_COPY)
+    return joined
+
+
+def _dealt(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+    """``rows`` with slice and copies: equal rows of a hot key as one row per slice they are dealt to."""
+    one = F.lit(1).cast("long")
+    cold = rows.join(hot, key, "left_anti").select(*rows.columns, F.lit(0).alias(_SLICE), one.alias(_COPY))
+    counted = rows.join(hot, key).groupBy(*rows.columns, _SLICES).agg(F.count(F.lit(1)).alias(_COPY))
+    parts = F.least(F.col(_COPY), F.col(_SLICES).cast("long"))
+    spread = counted.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    share = F.floor(F.col(_COPY) / parts) + F.when(F.col("__part") < F.col(_COPY) % parts, 1).otherwise(0)
+    place = F.pmod(F.xxhash64(*rows.columns) + F.col("__part"), F.col(_SLICES)).cast("int")
+    return cold.unionByName(spread.select(*rows.columns, place.alias(_SLICE), share.cast("long").alias(_COPY)))
 
 
 def top_rows(df: DataFrame, group: str, order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -102,6 +122,30 @@ def ranked(df: DataFrame, group: str, order: list[Column], rank: str = "rank") -
     )
 
 
+def first_gaps(taken: DataFrame, owners: DataFrame, owner: str, place: str, k: int, n: str = "n", rank: str = "rank") -> DataFrame:
+    """(owner, rank, place): the first ``k`` places from 1 on that ``taken`` does not hold, for each owner.
+
+    ``taken`` holds distinct (owner, place) rows, ``owners`` every owner once with ``n``, the number of
+    its taken places. With an owner's taken places r_1 < r_2 < ..., r_j - j free ones come before the
+    j-th, so the t-th free place is t plus the number of taken ones with r_j - j < t. Only places up to
+    k + n can count, which leaves few rows to sort where places are many and owners take few.
+    """
+    longest = owners.agg(F.max(n)).scalar()
+    near = taken.select(owner, place).filter(F.col(place) <= k + longest)
+    sizes = owners.select(owner, F.col(n).alias("__n"))
+    near = spread_join(near, sizes, owner, counts=owners, n=n).filter(F.col(place) <= k + F.col("__n")).drop("__n")
+    placed = ranked(near, owner, [F.asc(place)], "__j")
+    # Of the taken places only how many have each number of free ones before them matters.
+    free = F.col(place) - F.col("__j")
+    before = placed.filter(free < k).groupBy(owner, free.alias("u")).agg(F.count(F.lit(1)).alias("c"))
+    before = before.groupBy(owner).agg(F.collect_list(F.struct("u", "c")).alias("__taken"))
+    nothing = F.array().cast("array<struct<u: bigint, c: bigint>>")
+    ranks = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(k).cast("long")))
+    asked = owners.select(owner).join(before, owner, "left").select(owner, F.coalesce("__taken", nothing).alias("__taken"), ranks.alias(rank))
+    ahead = F.aggregate("__taken", F.lit(0).cast("long"), lambda total, t: total + F.when(t["u"] < F.col(rank), t["c"]).otherwise(0))
+    return asked.select(owner, rank, (F.col(rank) + ahead).alias(place))
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the session's checkpoint folder and cut its lineage there."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -126,3 +170,15 @@ def ensure_checkpoint_dir(spark) -> None:
         path = context._jvm.org.apache.hadoop.fs.Path(f"file://{folder}")
         path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
     context.setCheckpointDir(folder)
+
+
+def scratch_folder(spark, name: str) -> str:
+    """A new folder below the checkpoint folder, which all executors share; deleted when the driver ends."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    folder = f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

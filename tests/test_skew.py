@@ -61,3 +61,26 @@ def test_spread_join_keeps_every_row_once(spark, keys, slice_rows):
     side = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c")], "k long, s string")
     got = skew.spread_join(rows, side, "k", slice_rows=slice_rows)
     assert rows_of(got, "k", "v", "s") == rows_of(rows.join(side, "k"), "k", "v", "s")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_equal_rows_of_a_hot_key_are_dealt_out(spark, how):
+    rows = spark.createDataFrame([(1, "same")] * 50 + [(1, "other")] * 3 + [(2, "b"), (3, "c")], "k long, v string")
+    side = spark.createDataFrame([(1, "x"), (2, "y")], "k long, s string")
+    want = rows.join(side, "k", how)
+    got = skew.spread_join(rows, side, "k", how, slice_rows=5, repeated=True)
+    assert rows_of(got, *want.columns) == rows_of(want)
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    dealt = skew._dealt(rows, skew.hot_keys(counts, "k", "n", 5), "k").filter("k = 1")
+    sizes = [r[0] for r in dealt.groupBy("__slice").agg(F.sum("__copy")).select("sum(__copy)").collect()]
+    assert len(sizes) == 11 and max(sizes) <= 8 and sum(sizes) == 53
+
+
+def test_first_gaps_by_brute_force(spark):
+    taken = {1: [], 2: [1, 2, 3], 3: [2, 4, 9, 40], 4: list(range(1, 60)), 5: [5]}
+    owners = spark.createDataFrame([(o, len(t)) for o, t in taken.items()], "o long, n long")
+    rows = spark.createDataFrame([(o, p) for o, t in taken.items() for p in t], "o long, p long")
+    want = []
+    for o, t in taken.items():
+        want += [(o, rank, p) for rank, p in enumerate([p for p in range(1, 100) if p not in t][:4], 1)]
+    assert rows_of(skew.first_gaps(rows, owners, "o", "p", 4), "o", "rank", "p") == sorted(want)

@@ -30,3 +30,33 @@ def test_written_results_read_back(spark, tmp_path):
     readers.write_result(df, str(tmp_path / "out.json"))
     assert spark.read.parquet(str(tmp_path / "out")).collect() == [(1, 0.5)]
     assert spark.read.json(str(tmp_path / "out.json")).collect() == [(1, 0.5)]
+
+
+def test_bad_lines_are_told_apart(spark, tmp_path):
+    (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n1,2,3.5,10\nx,2,3.5,10\n1,2\n\n3,4,5.0,6,7\n4,5,,6\n5,6,1.0,7\n")
+    (tmp_path / "movies.csv").write_text('movieId,title,genres\n1,"A, ""B"" (1990)",x|y\n2,only\n,none,x\n3,"",x\n')
+    ratings, movies = readers.checked_csv_dataset(spark, str(tmp_path))
+    assert [tuple(r) for r in ratings.good.collect()] == [(1, 2, 3.5, 10), (5, 6, 1.0, 7)]
+    assert ratings.counts.get == {"rows": 6, "good": 2, "rejected": 4}
+    assert {r.line: r.reason for r in ratings.rejected.collect()} == {
+        "x,2,3.5,10": "no valid userId",
+        "1,2": "no valid rating, timestamp",
+        "3,4,5.0,6,7": "wrong number of fields",
+        "4,5,,6": "no valid rating",
+    }
+    assert [r.title for r in movies.good.collect()] == ['A, "B" (1990)']
+    assert sorted(r.reason for r in movies.rejected.collect()) == ["no valid genres", "no valid movieId", "no valid title"]
+
+
+def test_few_columns_of_a_checked_file(spark, tmp_path):
+    """Lines are judged by all their fields, whichever are asked for."""
+    (tmp_path / "r.dat").write_text("1::2::3.5::10\n1::3::bad::10\n2::3::1.0\n")
+    found = readers.read_checked(spark, str(tmp_path / "r.dat"), readers.RATINGS_SCHEMA, "::", False)
+    assert [r[0] for r in found.good.select("userId").collect()] == [1]
+    assert found.rejected.count() == 2
+
+
+def test_checked_file_without_rows(spark, tmp_path):
+    (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n")
+    found = readers.read_checked(spark, str(tmp_path / "ratings.csv"), readers.RATINGS_SCHEMA)
+    assert found.good.count() == 0 and found.rejected.count() == 0
