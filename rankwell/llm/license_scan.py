@@ -1,10 +1,11 @@
 """Licence scans: matching statistics against a suffix automaton of licence tokens.
 
-The templates' words form one generalised suffix automaton. Streaming a text through it gives,
-at each word, the longest suffix that occurs in some template; where such a match cannot be
-made longer it is a block of that template. Blocks that follow each other in both text and
-template are chained into spans, and a span that covers enough of its template is a finding.
-Short phrases are templates too, found wherever they end as a suffix of the running match.
+The templates' words form one generalised suffix automaton. Streaming a text through it gives, at
+each word, the longest suffix that occurs in some template, and through its suffix links the
+longest one that occurs in each template; where a template's match cannot be made longer it is a
+block of that template, even if another template's goes on. Blocks that follow each other in both
+text and template are chained into spans, and a span that covers enough of its template is a
+finding. Short phrases are templates too, found wherever they end as a suffix of the running match.
 """
 
 from __future__ import annotations
@@ -97,7 +98,19 @@ class Automaton:
         for s in order:  # where a string ends, its suffixes end too
             if self.link[s] > 0:
                 ends[self.link[s]] |= ends[s]
-        self.ends = [sorted(e) for e in ends]
+        self.tokens = [[self.vocabulary[w] for w in words] for _, words in self.templates]
+        # Of each state and template the longest match: its length, 0 for the whole running match, and
+        # the places in the template where it ends.
+        self.held: list[dict[int, tuple[int, list[int]]]] = [{} for _ in self.step]
+        for s in reversed(order):
+            shorter = self.link[s]
+            for number, (size, places) in self.held[shorter].items():
+                self.held[s][number] = (size or self.length[shorter], places)
+            own = defaultdict(list)
+            for number, at in sorted(ends[s]):
+                own[number].append(at)
+            self.held[s] |= {number: (0, places) for number, places in own.items()}
+        self.closed: dict[tuple[int, int | None], list[tuple[int, int, list[int]]]] = {}
         # Phrases that end with a state's strings, by the length the match must have.
         own = defaultdict(list)
         for number, (_, words) in enumerate(self.phrases):
@@ -143,15 +156,13 @@ class Automaton:
         places, blocks = [], []
         state = size = 0
         for at, token in enumerate(map(get, words)):
+            if size >= MIN_BLOCK:
+                self._close(blocks, state, size, token, at)
             if token is None:
-                if size >= MIN_BLOCK:
-                    self._block(blocks, state, size, at)
                 state = size = 0
                 continue
             to = step[state].get(token)
             if to is None:
-                if size >= MIN_BLOCK:
-                    self._block(blocks, state, size, at)
                 while state > 0 and token not in step[state]:
                     state = link[state]
                     size = length[state]
@@ -164,12 +175,23 @@ class Automaton:
                 if size >= need:
                     places.append((number, at + 1 - need))
         if size >= MIN_BLOCK:
-            self._block(blocks, state, size, len(words))
+            self._close(blocks, state, size, None, len(words))
         return places, blocks
 
-    def _block(self, blocks: list, state: int, size: int, end: int) -> None:
-        for template, at in self.ends[state]:
-            blocks.append((template, end - size, at - size, size))
+    def _close(self, blocks: list, state: int, size: int, token: int | None, end: int) -> None:
+        """Adds the blocks of those templates whose longest match ends before ``token``."""
+        found = self.closed.get((state, token))
+        if found is None:
+            found = []
+            for template, (own, places) in self.held[state].items():
+                words = self.tokens[template]
+                if token is None or not any(at < len(words) and words[at] == token for at in places):
+                    found.append((template, own, places))
+            self.closed[state, token] = found
+        for template, own, places in found:
+            n = own or size
+            if n >= MIN_BLOCK:
+                blocks += [(template, end - n, at - n, n) for at in places]
 
     def chain(self, blocks: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
         """Best spans (template, start, end, words covered), one for each chain of blocks.

@@ -37,25 +37,85 @@ def test_scan_equals_brute_force_on_random_words():
             if text[i : i + len(p.split())] == p.split()
         ]
         assert sorted(found) == sorted(want)
-        # Longest suffix of each prefix that occurs in a template or phrase; a block where it can't go on.
-        known = [t.split() for _, t in templates] + [p.split() for p in phrases]
+        # Of each template the longest suffix of each prefix that it holds; a block where it can't go on.
+        want = []
+        for t, (_, k) in enumerate(templates):
+            own = k.split()
 
-        def longest(i):
-            return max(
-                (n for n in range(i + 1) if any(k[j : j + n] == text[i - n : i] for k in known for j in range(len(k)))), default=0
-            )
+            def longest(i):
+                return max((n for n in range(i + 1) if any(own[j : j + n] == text[i - n : i] for j in range(len(own)))), default=0)
 
-        stats = [longest(i) for i in range(len(text) + 1)]
-        want = []
-        for i in range(1, len(text) + 1):
-            if stats[i] >= license_scan.MIN_BLOCK and (i == len(text) or stats[i + 1] <= stats[i]):
+            stats = [longest(i) for i in range(len(text) + 1)]
+            for i in range(1, len(text) + 1):
                 n = stats[i]
-                for t, (_, k) in enumerate(templates):
-                    own = k.split()
+                if n >= license_scan.MIN_BLOCK and (i == len(text) or stats[i + 1] <= n):
                     want += [(t, i - n, j, n) for j in range(len(own)) if own[j : j + n] == text[i - n : i]]
         assert sorted(blocks) == sorted(want)
 
 
+def fullest_chains(blocks):
+    """Spans of one template, every chain listed: the fullest, then what is left, again and again."""
+    gap, taken = license_scan.MAX_GAP, []
+
+    def fits(chain, block):
+        (s, a, n), (start, at, _) = chain[-1], block
+        return s + n <= start <= s + n + gap and a + n <= at
+
+    def chains(chain):
+        yield chain
+        for block in blocks:
+            if fits(chain, block):
+                yield from chains([*chain, block])
+
+    every = [c for block in blocks for c in chains([block])]
+    spans = [(-sum(n for _, _, n in c), c[0][0], c[-1][0] + c[-1][2]) for c in every]
+    for covered, first, end in sorted(spans):
+        if all(end <= f or first >= e for _, f, e in taken):
+            taken.append((-covered, first, end))
+    return sorted((first, end, covered) for covered, first, end in taken)
+
+
+def test_spans_equal_every_chain_listed():
+    """The spans that hold most: no chain covers more than the fullest span found, nor than what is left over."""
+    rnd = random.Random(8)
+    machine = license_scan.Automaton([("t", "a b c d e f g h a b c i j")], {})
+    for _ in range(200):
+        text = []
+        for _ in range(rnd.randint(1, 4)):
+            at = rnd.randrange(10)
+            text += "a b c d e f g h a b c i j".split()[at : at + rnd.randint(2, 7)] + ["u"] * rnd.choice([0, 1, 9])
+        _, blocks = machine.scan([w.encode() for w in text])
+        got = sorted((first, end, covered) for _, first, end, covered in machine.chain(blocks))
+        want = fullest_chains([b[1:] for b in blocks])
+        assert max([c for *_, c in got], default=0) == max([c for *_, c in want], default=0)
+        assert all(a[1] <= b[0] for a, b in zip(got, got[1:]))
+
+
+def test_templates_inside_longer_matches():
+    """A notice that stands whole is found, though another template's match goes on past its end."""
+    head = "licensed under the apache license version 2 0"
+    machine = license_scan.Automaton(license_scan.TEMPLATES, license_scan.PHRASES)
+    for tail in ("see file", "the", "the license is great", "the license you may not use", ""):
+        _, blocks = machine.scan(f"x {head} {tail}".encode().split())
+        best = {}
+        for t, _, _, covered in machine.chain(blocks):
+            label, own = machine.templates[t]
+            best[label] = max(best.get(label, 0), covered / len(own))
+        assert best["apache-2.0"] == 1.0, tail
+    machine = license_scan.Automaton([("A", "a b c d e f g h i j"), ("B", "x d e f y")], {})
+    _, blocks = machine.scan(b"a b c x d e f y g h i j".split())
+    assert sorted(machine.chain(blocks)) == [(0, 0, 12, 10), (1, 3, 8, 5)]
+
+
+def test_long_text(spark):
+    body = dict(license_scan.TEMPLATES)["bsd"]
+    text = "filler words here " * 100_000 + body + " all rights reserved " + "more of it " * 100_000
+    row = license_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_words == 600_000 + len(body.split()) + 3
+    assert [(p.label, p.start) for p in row.places] == [("reserved", 300_000 + len(body.split()))]
+    assert [(s.label, s.start, s.coverage) for s in row.spans if s.coverage >= 0.8] == [("bsd", 300_000, 1.0)]
+
+
 def test_chain_bridges_small_changes(spark):
     body = dict(license_scan.TEMPLATES)["bsd"].split()
     changed = body[:8] + ["new"] + body[9:]
