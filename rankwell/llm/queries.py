@@ -79,10 +79,9 @@ def _warc(spark, folder):
 
 
 def _url_filter(spark, folder):
-    # A page's outcome is the quality label that bears its id.
-    outcomes = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("bad"))
+    # Labels are of documents and say nothing of a page, so the rules' verdicts are the outcomes.
     pages = table(spark, folder, "pages").select("page_id", "url")
-    return url_filter.judge(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
 def _toxicity(spark, folder):

@@ -3,7 +3,9 @@
 Labelled page outcomes are counted per host, registered domain and suffix. Each level's rate is
 shrunk towards that of the level above by a beta prior whose strength comes from how much the
 rates below really differ, and a host is blocked where the lower bound of its posterior bad
-rate passes a threshold.
+rate passes a limit above the overall rate. Where no outcomes are given they are the explicit
+rules' own: a page that a rule blocks is bad, one that a rule allows is good, and all others of
+the host are judged by those.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ RULES = (
 )
 # Suffixes of two labels, below which names are registered.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.jp", "co.kr", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "com.mx", "gov.uk", "org.au", "org.uk")
-# The bound lies Z standard deviations below the mean; above THRESHOLD the host is blocked.
-# Prior strengths are kept between the two limits.
-Z, THRESHOLD, MIN_STRENGTH, MAX_STRENGTH = 1.645, 0.5, 1.0, 1000.0
+# The bound lies Z standard deviations below the mean. A host is blocked where even the bound means
+# odds of a bad page LIFT times those overall. Prior strengths are kept between the two limits.
+Z, LIFT, MIN_STRENGTH, MAX_STRENGTH = 1.645, 2.0, 1.0, 1000.0
 
 
 def host_of(url: Column) -> Column:
@@ -87,11 +89,12 @@ def _strength(level: DataFrame) -> Column:
 
 
 def reputation(outcomes: DataFrame) -> DataFrame:
-    """(host, n, bad, mean, bound) of every host in ``outcomes`` (host, bad).
+    """(host, n, bad, mean, bound, limit) of every host in ``outcomes`` (host, bad).
 
     ``bad`` is 1 for a bad page, 0 for a good one and null where the page has no label; hosts
     without labels get their domain's rate. ``mean`` is the posterior mean of the bad rate,
-    ``bound`` its lower bound. No outcomes give no rows; a null host is one of its own.
+    ``bound`` its lower bound, ``limit`` the rate at LIFT times the overall odds, which is the
+    same in all rows. No outcomes give no rows; a null host is one of its own.
     """
     hosts = stored(
         outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
@@ -112,12 +115,13 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     own = shrunk(hosts.join(above, hosts.domain.eqNullSafe(above.domain)).drop(above.domain))
     total = F.col("n") + F.col("strength")
     deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (total + 1))
-    return own.select("host", "n", "bad", F.col("rate").alias("mean"), (F.col("rate") - Z * deviation).alias("bound"))
+    limit = LIFT * overall / (1 - overall + LIFT * overall)
+    return own.select("host", "n", "bad", F.col("rate").alias("mean"), (F.col("rate") - Z * deviation).alias("bound"), limit.alias("limit"))
 
 
 def judge(
     pages: DataFrame,
-    outcomes: DataFrame,
+    outcomes: DataFrame | None = None,
     rules: Sequence[tuple[str, str, str]] = RULES,
     url: str = "url",
     id_col: str = "page_id",
@@ -126,22 +130,28 @@ def judge(
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict, bad_rate and bad_bound.
 
-    ``outcomes`` labels pages by id: ``bad`` 1 or 0, a page with several rows being bad if one
-    says so. The longest fitting rule gives the verdict; else a page is blocked if its host's
-    ``bad_bound`` passes THRESHOLD. A null url, or one without ://, has an empty host and path.
-    Input columns of the result's names are replaced.
+    The longest fitting rule gives the verdict; else a page is blocked if its host's ``bad_bound``
+    passes the limit that ``reputation`` sets. ``outcomes`` labels pages by id: ``bad`` 1 or 0, a page
+    with several rows being bad if one says so; without it the rules' verdicts are the outcomes, and
+    repeated rows count each time. A null url, or one without ://, has an empty host and path. Input
+    columns of the result's names are replaced.
     """
     added = ["host", "path", "rule", "verdict", "bad_rate", "bad_bound"]
     kept = [c for c in pages.columns if c.lower() not in added]
     whole, page = fresh(pages, "__url"), fresh(pages, "__id")
     held = pages.select(*[pages[f"`{c}`"] for c in kept], pages[f"`{url}`"].alias(whole), pages[f"`{id_col}`"].alias(page))
     held = held.withColumns({"host": F.coalesce(host_of(F.col(whole)), F.lit("")), "path": F.coalesce(path_of(F.col(whole)), F.lit(""))})
-    told = outcomes.filter(f"`{bad}` is not null").groupBy(F.col(f"`{outcome_id}`").alias("__of")).agg(F.max(f"`{bad}`").cast("int").alias("bad"))
-    ids = held.select("host", page)
-    seen = ids.join(told, ids[page] == told["__of"], "left").select("host", "bad")
-    known = stored(reputation(seen)).select(F.col("host").alias("__host"), F.col("mean").alias("bad_rate"), F.col("bound").alias("bad_bound"))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
-    by_host = F.when(F.col("bad_bound") > THRESHOLD, "block").otherwise("allow")
+    if outcomes is None:
+        seen = held.select("host", F.when(verdict == "block", 1).when(verdict == "allow", 0).alias("bad"))
+    else:
+        told = outcomes.filter(f"`{bad}` is not null").groupBy(F.col(f"`{outcome_id}`").alias("__of")).agg(F.max(f"`{bad}`").cast("int").alias("bad"))
+        ids = held.select("host", page)
+        seen = ids.join(told, ids[page] == told["__of"], "left").select("host", "bad")
+    known = stored(reputation(seen)).select(
+        F.col("host").alias("__host"), F.col("mean").alias("bad_rate"), F.col("bound").alias("bad_bound"), (F.col("bound") > F.col("limit")).alias("__bad")
+    )
+    by_host = F.when(F.col("__bad"), "block").otherwise("allow")
     return held.join(known, F.col("host") == F.col("__host"), "left").select(
         *[f"`{c}`" for c in kept], "host", "path", rule.alias("rule"), F.coalesce(verdict, by_host).alias("verdict"), "bad_rate", "bad_bound"
     )
@@ -164,20 +174,22 @@ WITH r AS (
 p AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
-told AS (SELECT doc_id, max(1 - quality) AS bad FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+ruled AS (
+  SELECT *, {_case([h + p for _, h, p in _LONGEST])} AS rule, {_case([k for k, _, _ in _LONGEST])} AS told FROM p),
+seen AS (SELECT host, CASE told WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad FROM ruled),
 hosts AS (
   SELECT host, count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad,
          CASE WHEN {_IS_TWO} THEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.') ELSE {_TWO} END AS dom,
          CASE WHEN {_IS_TWO} THEN {_TWO} ELSE string_split(host, '.')[-1] END AS suf
-  FROM p LEFT JOIN told ON told.doc_id = p.page_id GROUP BY host),
-s0 AS (SELECT suf, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM hosts) AS prior FROM hosts GROUP BY 1),
+  FROM seen GROUP BY host),
+overall AS (SELECT (sum(bad) + 1) / (sum(n) + 2) AS o FROM hosts),
+s0 AS (SELECT suf, sum(n) AS n, sum(bad) AS bad, (SELECT o FROM overall) AS prior FROM hosts GROUP BY 1),
 s AS (SELECT suf, (bad + m * prior) / (n + m) AS rate FROM s0, (SELECT {_STRENGTH} AS m FROM s0 WHERE n > 0)),
 d0 AS (SELECT dom, sum(n) AS n, sum(bad) AS bad, any_value(rate) AS prior FROM hosts JOIN s USING (suf) GROUP BY 1),
 d AS (SELECT dom, (bad + m * prior) / (n + m) AS rate FROM d0, (SELECT {_STRENGTH} AS m FROM d0 WHERE n > 0)),
 h0 AS (SELECT host, n, bad, rate AS prior FROM hosts JOIN d USING (dom)),
 h AS (SELECT host, n + m AS total, (bad + m * prior) / (n + m) AS rate FROM h0, (SELECT {_STRENGTH} AS m FROM h0 WHERE n > 0))
-SELECT page_id, p.host, path, {_case([h + p for _, h, p in _LONGEST]).replace("host ", "p.host ").replace("(host", "(p.host")} AS rule,
-       coalesce({_case([k for k, _, _ in _LONGEST]).replace("host ", "p.host ").replace("(host", "(p.host")},
-                CASE WHEN rate - {Z} * sqrt(rate * (1 - rate) / (total + 1)) > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN h ON h.host = p.host
+SELECT page_id, ruled.host, path, rule,
+       coalesce(told, CASE WHEN rate - {Z} * sqrt(rate * (1 - rate) / (total + 1)) > {LIFT} * o / (1 - o + {LIFT} * o) THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN h ON h.host = ruled.host, overall
 """

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from rankwell.llm import url_filter
+from rankwell.llm import queries, url_filter
 
 URLS = [
     ("http://WWW.Example.ORG/es/a?x#y", "www.example.org", "/es/a", "example.org/es/", "block"),
@@ -85,3 +85,22 @@ def test_bad_hosts_are_blocked(spark):
 def test_empty_table(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert url_filter.judge(none, spark.createDataFrame([(1, 1)], "doc_id long, bad int")).count() == 0
+
+
+def test_query_blocks_a_planted_host(spark, tmp_path):
+    """Pages that no rule fits go by how the rules judged the other pages of their host."""
+    urls = [f"http://spam.com/{'de' if i % 10 else 'fr'}/{i}" for i in range(60)] + [f"http://spam.com/en/{i}" for i in range(20)]
+    for h in range(12):
+        urls += [f"http://h{h}.com/{'de' if i % 10 == 0 else 'fr'}/{i}" for i in range(30)] + [f"http://h{h}.com/en/1"]
+    urls += [f"http://h{h}.org/en/{i}" for h in range(6) for i in range(10)] + ["http://unseen.net/en/1"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    rows = queries.QUERIES["op7_url_filter"](spark, str(tmp_path)).collect()
+    assert len(rows) == len(urls)
+    assert {r.host for r in rows if r.rule is None and r.verdict == "block"} == {"spam.com"}
+    assert sum(r.rule is None and r.verdict == "block" for r in rows) == 20
+
+
+def test_query_blocks_some_hosts(spark):
+    rows = queries.QUERIES["op7_url_filter"](spark, "/root/testdata/sf0.1").collect()
+    free = [r for r in rows if r.rule is None]
+    assert 0 < sum(r.verdict == "block" for r in free) < len(free) / 2
