@@ -8,7 +8,7 @@ anywhere is worked out once, by joins and sums over the trie's levels.
 
 Scoring deals the texts into batches. A batch asks for its distinct n-grams and words, each
 once; the answers come back by a shuffle and are looked up position by position. Neither the
-trie nor the vocabulary is ever held whole.
+trie nor the vocabulary is ever held whole. Words are told apart by 63-bit hashes.
 """
 
 from __future__ import annotations
@@ -20,16 +20,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import as_bytes, buffer_of, slices, stored, text_batches
+from rankwell.llm.common import SPACED_TABLE, as_bytes, buffer_of, hashed_words, slices, stored, text_batches
 
 # Bytes of context, bits of a symbol (a byte, or END before and after every text), symbols.
 ORDER, SYMBOL_BITS, END = 5, 9, 256
 SYMBOLS = 257
-# Text bytes of a batch, about; bytes turned into n-grams at once; n-grams a task folds at once.
-BATCH_BYTES, SLICE_BYTES, FOLD = 48 << 20, 1_000_000, 2_000_000
+# Text bytes of a batch, about; bytes turned into n-grams at once; n-grams a task holds before it
+# passes their counts on.
+BATCH_BYTES, SLICE_BYTES, FOLD = 24 << 20, 1_000_000, 2_000_000
 ROWS_OUT = 100_000
-# Keys of what a batch asks for: a word, the end of a text, or an n-gram.
-WORD_KEY, GRAM_KEY = b"w", b"g"
+# Keys are the codes of n-grams, and -1 - code for words; the end of a text counts as this word.
+END_WORD = 0
+_HOME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def grams_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,67 +42,139 @@ def grams_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """
     data, offsets = buffer_of(texts)
     n = len(offsets) - 1
-    starts = offsets + np.arange(n + 1)
-    symbols = np.full(len(data) + n, END, np.int64)
+    # ORDER times END before each text and one after it, so that no n-gram looks into another text.
+    padded = offsets + np.arange(n + 1) * (ORDER + 1)
+    symbols = np.full(len(data) + n * (ORDER + 1), END, np.int64)
     inside = np.ones(len(symbols), bool)
-    inside[starts[1:] - 1] = False
+    wanted = np.ones(len(symbols), bool)
+    for back in range(ORDER):
+        inside[padded[:-1] + back] = wanted[padded[:-1] + back] = False
+    inside[padded[1:] - 1] = False
     symbols[inside] = data
-    codes = symbols.copy()
-    place = np.arange(len(symbols)) - np.repeat(starts[:-1], np.diff(starts))
-    for back in range(1, ORDER + 1):
-        shifted = np.full(len(symbols), END, np.int64)
-        shifted[back:] = symbols[:-back] if back < len(symbols) else symbols[:0]
-        shifted[place < back] = END
-        codes |= shifted << (SYMBOL_BITS * back)
-    return codes, starts
+    codes, held = symbols, 1
+    while held <= ORDER:
+        step = min(held, ORDER + 1 - held)
+        longer = codes.copy()
+        if held == step:
+            longer[step:] |= codes[:-step] << (SYMBOL_BITS * step)
+        else:
+            # Only the lowest symbols of the n-gram that ends ``held`` places before are still missing.
+            longer[held:] |= (codes[:-held] & ((1 << SYMBOL_BITS * step) - 1)) << (SYMBOL_BITS * held)
+        codes, held = longer, held + step
+    return codes[wanted], offsets + np.arange(n + 1)
+
+
+class Codes:
+    """Distinct codes from 0 on, numbered as they come, found by hashing."""
+
+    def __init__(self, codes: np.ndarray | None = None):
+        self._room(16)
+        self.n, self.codes = 0, np.full(1 << 15, -1, np.int64)
+        if codes is not None:
+            self._append(codes)
+
+    def _room(self, bits: int) -> None:
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int32)
+
+    def _home(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * _HOME) >> self.shift).astype(np.int64)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each code, -1 for those not held."""
+        codes = np.ascontiguousarray(codes)
+        at = self._home(codes)
+        found = self.slots[at]
+        # The last place of ``codes`` is never used, so -1 compares with no code.
+        left = np.flatnonzero((self.codes[found] != codes) & (found >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            found[left] = self.slots[at[left]]
+            left = left[(self.codes[found[left]] != codes[left]) & (found[left] >= 0)]
+        return found
+
+    def add(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each code, new ones taken in."""
+        found = self.find(codes)
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            self._append(np.unique(codes[missing]))
+            found[missing] = self.find(codes[missing])
+        return found
+
+    def _append(self, new: np.ndarray) -> None:
+        """Takes in distinct codes that are not held."""
+        n = self.n + len(new)
+        if n >= len(self.codes):
+            larger = np.full(2 * n, -1, np.int64)
+            larger[: self.n] = self.codes[: self.n]
+            self.codes = larger
+        self.codes[self.n : n] = new
+        first, self.n = self.n, n
+        if 2 * n > self.mask:
+            self._room(int(4 * n).bit_length())
+            first = 0
+        places = np.arange(first, n, dtype=np.int32)
+        at = self._home(self.codes[first:n])
+        while len(places):  # of those that want a slot the last one gets it, others go on to the next
+            free = self.slots[at] < 0
+            self.slots[at[free]] = places[free]
+            left = self.slots[at] != places
+            places, at = places[left], (at[left] + 1) & self.mask
+
+    def held(self) -> np.ndarray:
+        return self.codes[: self.n]
+
+
+class _Counts:
+    """Codes with how often they came in learning texts."""
 
+    def __init__(self):
+        self.codes, self.counts = Codes(), np.zeros(1 << 15, np.int64)
 
-def folded(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes, sorted, with the sums of their counts."""
-    order = np.argsort(codes, kind="stable")
-    codes, counts = codes[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
-    return codes[first], np.add.reduceat(counts, first) if len(first) else counts
+    def add(self, codes: np.ndarray, learns: np.ndarray) -> None:
+        at = self.codes.add(codes)
+        if self.codes.n > len(self.counts):
+            self.counts = np.append(self.counts, np.zeros(self.codes.n, np.int64))
+        np.add.at(self.counts, at[learns], 1)
 
+    def rows(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.codes.held(), self.counts[: self.codes.n]
 
-class _Grams:
-    """Distinct n-grams met so far, with how often in learning texts."""
 
-    def __init__(self):
-        self.codes, self.counts, self.size = [], [], 0
+def _learned_grams(texts: pa.Array, learns: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for at, part in slices(texts, SLICE_BYTES):
+        codes, starts = grams_of(part)
+        yield codes, np.repeat(learns[at : at + len(part)], np.diff(starts))
 
-    def add(self, texts: pa.Array, learns: np.ndarray) -> None:
-        for at, part in slices(texts, SLICE_BYTES):
-            codes, starts = grams_of(part)
-            learn = np.repeat(learns[at : at + len(part)], np.diff(starts))
-            for these, counted in ((codes[learn], True), (codes[~learn], False)):
-                if len(these):
-                    distinct, n = np.unique(these, return_counts=True)
-                    self.codes.append(distinct)
-                    self.counts.append(n if counted else np.zeros(len(n), np.int64))
-                    self.size += len(n)
-            if self.size > FOLD:
-                self.fold()
-
-    def fold(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.codes) > 1:
-            codes, counts = folded(np.concatenate(self.codes), np.concatenate(self.counts))
-            self.codes, self.counts = [codes], [counts]
-        # What is left may be large of itself; fold again only after as much has come in.
-        self.size = 0
-        return (self.codes[0], self.counts[0]) if self.codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes from 0 on of all words of the texts, and the text of each."""
+    hashes, owner, *_ = hashed_words(texts.to_pylist(), SPACED_TABLE)
+    return (hashes >> np.uint64(1)).astype(np.int64), owner
+
+
+def _out(names: list[str], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), ROWS_OUT):
+        yield pa.RecordBatch.from_arrays([pa.array(c[at : at + ROWS_OUT]) for c in columns], names)
 
 
 def gram_counts(docs: DataFrame, text: str, learns: Column) -> DataFrame:
-    """(gram, n): every distinct n-gram of all texts with its count in those that ``learns`` names."""
+    """(gram, n): every distinct n-gram of all texts with its count in those that ``learns`` names.
+
+    A task passes on what it has counted each time it holds FOLD n-grams; the sums add the parts up.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = _Grams()
+        grams = _Counts()
         for batch in batches:
-            grams.add(as_bytes(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False).astype(bool))
-        codes, counts = grams.fold()
-        for at in range(0, len(codes), ROWS_OUT):
-            yield pa.RecordBatch.from_arrays([pa.array(codes[at : at + ROWS_OUT]), pa.array(counts[at : at + ROWS_OUT])], ["gram", "n"])
+            learns = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for codes, learn in _learned_grams(as_bytes(batch.column(0)), learns):
+                grams.add(codes, learn)
+                if grams.codes.n > FOLD:
+                    yield from _out(["gram", "n"], *grams.rows())
+                    grams = _Counts()
+        yield from _out(["gram", "n"], *grams.rows())
 
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.coalesce(learns, F.lit(False)).alias("learns"))
     return rows.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -148,46 +222,28 @@ def log_probs(grams: DataFrame) -> DataFrame:
     return below.select("gram", value.otherwise(F.col("rest")).alias("logp"))
 
 
-def _key(gram: Column) -> Column:
-    return F.concat(F.lit(GRAM_KEY), F.unhex(F.lpad(F.hex(gram), 16, "0")))
-
-
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(batch, key, value): each batch's distinct words with their learning count, and n-grams."""
-    words: dict[int, dict[bytes, int]] = {}
-    grams: dict[int, _Grams] = {}
+    """(batch, key, value): each batch's distinct n-grams, and words with their learning count."""
+    words: dict[int, _Counts] = {}
+    grams: dict[int, Codes] = {}
     for rows in batches:
         texts, learns = as_bytes(rows.column("text")), rows.column("learns").to_numpy(zero_copy_only=False).astype(bool)
         numbers = rows.column("batch").to_numpy()
         for number in np.unique(numbers).tolist():
             at = np.flatnonzero(numbers == number)
-            mine = texts.take(pa.array(at))
-            grams.setdefault(number, _Grams()).add(mine, learns[at])
-            held = words.setdefault(number, {b"": 0})
-            for text, learn in zip(mine.to_pylist(), learns[at].tolist()):
-                found = text.lower().split()
-                if learn:
-                    for w in found:
-                        held[w] = held.get(w, 0) + 1
-                    held[b""] += 1
-                else:
-                    for w in found:
-                        held.setdefault(w, 0)
-    for number in words:
-        keys = [WORD_KEY + w for w in words[number]]
-        values = np.fromiter(words[number].values(), np.float64, len(keys))
-        codes, _ = grams[number].fold()
-        raw = codes.astype(">i8").tobytes()
-        for at in range(0, len(keys), ROWS_OUT):
-            part = keys[at : at + ROWS_OUT]
-            yield _rows(number, pa.array(part, pa.binary()), values[at : at + len(part)])
-        for at in range(0, len(codes), ROWS_OUT):
-            part = [GRAM_KEY + raw[8 * i : 8 * i + 8] for i in range(at, min(len(codes), at + ROWS_OUT))]
-            yield _rows(number, pa.array(part, pa.binary()), np.zeros(len(part)))
-
-
-def _rows(number: int, keys: pa.Array, values: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), number, np.int32)), keys, pa.array(values)], ["batch", "key", "value"])
+            own, held = grams.setdefault(number, Codes()), words.setdefault(number, _Counts())
+            mine, learn = texts.take(pa.array(at)), learns[at]
+            for first, part in slices(mine, SLICE_BYTES):
+                own.add(grams_of(part)[0])
+                found, owner = words_of(part)
+                held.add(found, learn[first : first + len(part)][owner])
+                # The end of each text is a word too.
+                held.add(np.full(len(part), END_WORD), learn[first : first + len(part)])
+    for number, held in words.items():
+        codes, counts = held.rows()
+        keys = np.concatenate([-1 - codes, grams[number].held()])
+        values = np.concatenate([counts.astype(np.float64), np.zeros(grams[number].n)])
+        yield from _out(["batch", "key", "value"], np.full(len(keys), number, np.int32), keys, values)
 
 
 SCORES = "held_out boolean, n_tokens long, n_known long, logs double, score double, batch_tokens double, batch_words long"
@@ -195,37 +251,30 @@ SCORES = "held_out boolean, n_tokens long, n_known long, logs double, score doub
 
 def _scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
     """Scores of one batch's texts from the answers to what it asked for."""
-    keys, values = answers.column("key").combine_chunks(), answers.column("value").to_numpy()
-    kinds = np.array([k[:1] == WORD_KEY for k in keys.to_pylist()], bool)
-    named = np.flatnonzero(kinds)
-    found = [k[1:] for k in keys.take(pa.array(named)).to_pylist()]
-    counts = values[named]
-    logs = dict(zip(found, np.log10(counts + 0.5).tolist()))
-    unknown = float(np.log10(0.5))
-    first = answers.column("first").to_numpy(zero_copy_only=False).astype(bool)[named]
-    coded = np.flatnonzero(~kinds)
-    codes = np.frombuffer(b"".join([k[1:] for k in keys.take(pa.array(coded)).to_pylist()]), ">i8").astype(np.int64)
-    order = np.argsort(codes)
-    codes, logp = codes[order], values[coded][order]
+    keys, values = answers.column("key").to_numpy(), answers.column("value").to_numpy()
+    named, coded = np.flatnonzero(keys < 0), np.flatnonzero(keys >= 0)
+    counts, first = values[named], answers.column("first").to_numpy(zero_copy_only=False).astype(bool)[named]
+    words, logs = Codes(-1 - keys[named]), np.log10(counts + 0.5)
+    grams, logp = Codes(keys[coded]), values[coded]
+    end = words.find(np.array([END_WORD]))[0] if len(named) else -1
     tokens, known, sums, scores = [], [], [], []
     for chunk in rows.column("text").chunks:
         for _, part in slices(as_bytes(chunk), SLICE_BYTES):
-            for text in part.to_pylist():
-                own = [logs[w] for w in text.lower().split()]
-                own.append(logs[b""])
-                tokens.append(len(own))
-                known.append(len(own) - own.count(unknown))
-                sums.append(sum(own))
-            grams, starts = grams_of(part)
-            scores.append(np.add.reduceat(logp[np.searchsorted(codes, grams)], starts[:-1]))
-    n = len(tokens)
+            found, owner = words_of(part)
+            at = words.find(found)
+            tokens.append(np.bincount(owner, minlength=len(part)) + 1)
+            known.append(np.bincount(owner, counts[at] > 0, len(part)).astype(np.int64) + int(counts[end] > 0))
+            sums.append(np.bincount(owner, logs[at], len(part)) + logs[end])
+            codes, starts = grams_of(part)
+            scores.append(np.add.reduceat(logp[grams.find(codes)], starts[:-1]))
+    n = rows.num_rows
     return pa.table(
         {
             "id": rows.column("id"),
             "held_out": pa.array(~rows.column("learns").to_numpy(zero_copy_only=False).astype(bool)),
-            "n_tokens": pa.array(tokens, pa.int64()),
-            "n_known": pa.array(known, pa.int64()),
-            "logs": pa.array(sums, pa.float64()),
+            "n_tokens": pa.array(np.concatenate(tokens)),
+            "n_known": pa.array(np.concatenate(known)),
+            "logs": pa.array(np.concatenate(sums)),
             "score": pa.array(np.concatenate(scores)),
             "batch_tokens": pa.array(np.full(n, counts[first].sum())),
             "batch_words": pa.array(np.full(n, int((counts[first] > 0).sum()), np.int64)),
@@ -253,11 +302,12 @@ def score(docs: DataFrame, learns: Column, id_col: str = "doc_id", text: str = "
     probs = stored(log_probs(stored(gram_counts(rows, "text", F.col("learns")))))
 
     parts = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    number = F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int")
+    # Equal rows have one hash, so the part they are read from deals them out over the batches.
+    number = F.pmod(F.xxhash64("id", "text") + F.spark_partition_id(), F.lit(batches)).cast("int")
     dealt = rows.withColumn("batch", number).repartition(parts, "batch")
     # All columns, though the ids are not looked at: so both uses of the texts share one shuffle.
-    asked = dealt.mapInArrow(_asked, "batch int, key binary, value double")
-    told = probs.select(F.lit(None).cast("int").alias("batch"), _key(F.col("gram")).alias("key"), F.col("logp").alias("value"))
+    asked = dealt.mapInArrow(_asked, "batch int, key long, value double")
+    told = probs.select(F.lit(None).cast("int").alias("batch"), F.col("gram").alias("key"), F.col("logp").alias("value"))
     same = Window.partitionBy("key")
     answers = (
         asked.unionByName(told)

@@ -1,9 +1,11 @@
 """LM scoring against a plain trie with explicit exclusion sets, and on held-out documents."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +98,43 @@ def test_query(spark):
     compare(rows, docs, [t for (_, t), x in zip(docs, learns) if x])
     size = sum(len((t or "").encode()) + 1 for (_, t), x in zip(docs, learns) if not x)
     assert sum(r.score for r in rows if r.held_out) > -0.45 * size * math.log10(257)
+
+
+def test_a_third_of_all_rows_equal(spark, monkeypatch):
+    """Equal rows from several parts of the input go to several batches, and each is scored."""
+    monkeypatch.setattr(lm_scoring, "BATCH_BYTES", 2000)
+    rows = [(7, "the very same text again and again")] * 60 + [(i, f"text number {i} of many, all different {i * i}") for i in range(100, 220)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted(lm_scoring.score(df, F.col("doc_id") % 2 == 0).collect(), key=lambda r: r.doc_id)
+    rows.sort()
+    compare(got, rows, [t for i, t in rows if i % 2 == 0])
+
+
+def test_long_text_and_small_folds(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "FOLD", 500)
+    monkeypatch.setattr(lm_scoring, "SLICE_BYTES", 3000)
+    rnd = random.Random(2)
+    long = " ".join(rnd.choice(["alpha", "beta", "gamma", "x" * 30, "ü漢"]) + str(rnd.randrange(50)) for _ in range(20_000))
+    rows = [(1, long), (2, long[:1000]), (3, "short"), (4, None)]
+    got = sorted(lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") != 1).collect(), key=lambda r: r.doc_id)
+    compare(got, rows, [t for i, t in rows if i != 1])
+
+
+def test_megabytes(spark):
+    text = "all work and no play " * 150_000
+    rows = spark.createDataFrame([(1, text), (2, "x" * 2_000_000), (3, "all work")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_scoring.score(rows, F.col("doc_id") == 1).collect()}
+    assert got[1].n_tokens == 750_001 and got[2].n_tokens == 2 and got[3].n_known == 3
+    assert got[1].score > -0.05 * len(text) and got[2].score < -2_000_000
+
+
+def test_codes_are_found_by_hash():
+    rng = np.random.default_rng(0)
+    table, want = lm_scoring.Codes(), {}
+    for _ in range(30):
+        codes = rng.integers(0, 1 << 54, 3000) >> int(rng.integers(0, 54))
+        for c, at in zip(codes.tolist(), table.add(codes).tolist()):
+            assert want.setdefault(c, at) == at
+    assert len(set(want.values())) == len(want) == table.n
+    assert table.find(np.array([-1 + (1 << 60), *list(want)[:5]])).tolist() == [-1, *list(want.values())[:5]]
