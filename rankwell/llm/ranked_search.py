@@ -219,7 +219,9 @@ def cells(marked: DataFrame, weight: Weights, k: int, cell_docs: int = CELL_DOCS
     cut = placed.join(sizes.select("place", parts.alias("parts")), "place")
     cut = cut.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
     packed = cut.groupBy("place", "part").agg(F.collect_list(F.struct("ids", "n", "terms", "tfs")).alias("docs"))
-    return stored(packed.select(F.monotonically_increasing_id().alias("cell"), "docs"))
+    # Cells are small to read and dear to work on, so they are dealt over more tasks than their bytes ask for.
+    tasks = max(int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions")), many // 32)
+    return stored(packed.select((F.shiftleft("place", 20) + F.col("part")).alias("cell"), "docs").repartition(tasks, "cell"))
 
 
 def _cell(docs: pa.Array, weight: Weights):
