@@ -17,7 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle  # noqa: E402
 from rankwell.metrics import diversity, ranking, rating  # noqa: E402
-from rankwell.operators import factorization, features, genres, neighbors, popularity, similarity  # noqa: E402
+from rankwell.operators import bitmaps, factorization, features, genres, neighbors, popularity, similarity, tiles  # noqa: E402
 from rankwell.plans import baseline, profile, report  # noqa: E402
 from rankwell.skew import checkpoint, scratch_folder, spread_join  # noqa: E402
 from rankwell.sources import files, readers  # noqa: E402
@@ -206,6 +206,45 @@ def _inferred_csv(spark, folder):
     return readers.read_inferred(spark, path)
 
 
+def _json_scores(spark, folder):
+    """The report as JSON, and its scores read back from it."""
+    scores = report.report_json(rounded(_evaluation_report(spark, folder)))
+    read = F.from_json("scores", "map<string,double>")
+    return scores.select(F.explode(read).alias("metric", "score"))
+
+
+def _als_preprocessed(spark, folder):
+    """ALS on preprocessed ratings: well-supported users and items, centred on the user mean."""
+    rows = features.preprocess_ratings(_ratings(spark, folder), movies_view(spark, folder))
+    train, test = features.hash_split(checkpoint(rows.select("userId", "movieId", "rating", "timestamp")))
+    return report.evaluate_als(factorization.fit_als(train), train, test)
+
+
+def _tiles(use):
+    return lambda spark, folder: use(checkpoint(tiles.rating_tiles(ratings_view(spark, folder))))
+
+
+def _tile_sizes(held):
+    total = F.aggregate("values", F.lit(0.0), lambda t, v: t + v)
+    return held.select("row_tile", "col_tile", "kind", F.size("at").alias("cells"), total.alias("total"))
+
+
+def _dense_rows(held):
+    return tiles.dense_rows(held).select("userId", "col_tile", F.array_join("values", " ").alias("row_values"))
+
+
+def _coverage_by_years(train, lists):
+    """Item bitmaps of each year's training rows, stored, then merged."""
+    year = F.floor(F.col("timestamp") / (365 * 86_400)).alias("year")
+    yearly = checkpoint(bitmaps.id_bitmaps(train.select("movieId", year), "movieId", ["year"]))
+    return bitmaps.catalog_coverage(yearly, bitmaps.id_bitmaps(lists, "movieId"))
+
+
+def _seen_overlap_bitmaps(spark, folder):
+    ratings = _ratings(spark, folder)
+    return bitmaps.seen_overlap(features.modular_split(ratings)[0], ratings)
+
+
 def _on_ratings(use):
     return lambda spark, folder: use(ratings_view(spark, folder))
 
@@ -241,6 +280,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rating_timespan": _on_ratings(profile.rating_timespan),
     "five_number_items": _on_both(profile.five_number_items),
     "five_number_users": _on_ratings(profile.five_number_users),
+    "five_number_means": _on_ratings(profile.five_number_means),
     "genre_distribution": _on_movies(profile.genre_distribution),
     "genre_count": _on_movies(profile.genre_count),
     "genre_rating": _on_both(profile.genre_rating),
@@ -277,6 +317,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ranking_metrics_by_timestamp": _ranking("by_time_stamp"),
     # Pairs and similarities
     "seen_overlap": _seen_overlap,
+    "seen_overlap_bitmaps": _seen_overlap_bitmaps,
     "item_pairs": _on_lists(lambda train, lists: similarity.list_pairs(lists)),
     "cooccurrence_similarity": _cooccurrence(),
     # The same through the path for long histories, whatever their length.
@@ -298,6 +339,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_serendipity": _on_recos(diversity.user_serendipity),
     "serendipity": _on_recos(diversity.serendipity),
     "catalog_coverage": _on_lists(diversity.catalog_coverage),
+    "catalog_coverage_bitmaps": _on_lists(_coverage_by_years),
     "distributional_coverage": _on_lists(lambda train, lists: diversity.distributional_coverage(lists)),
     # Pearson
     "pearson_neighbors_large_entities": _on_stored_ratings(
@@ -305,6 +347,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda ratings: neighbors.pearson_neighbors(ratings, entity="movieId", other="userId", tile_rows=32)
     ),
     "rating_matrix": _on_ratings(neighbors.rating_matrix),
+    "rating_tiles": _tiles(_tile_sizes),
+    "rating_matrix_dense": _tiles(_dense_rows),
+    "tile_column_totals": _tiles(tiles.column_totals),
+    "tile_centred_cells": _tiles(lambda held: tiles.tile_cells(tiles.centre_columns(held))),
     "item_pearson": _item_pearson,
     "pearson_neighbors": _on_stored_ratings(
         lambda ratings: neighbors.pearson_neighbors(ratings, entity="movieId", other="userId")
@@ -325,7 +371,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_predict": _als(lambda model, train, test: factorization.als_predict(model, test)),
     "als_topk_unseen": _als(lambda model, train, test: factorization.top_k_unseen(model, train)),
     "als_evaluation": _als(report.evaluate_als),
+    "als_evaluation_preprocessed": _als_preprocessed,
     "evaluation_report": _evaluation_report,
+    "report_json": _json_scores,
 }
 
 

@@ -181,13 +181,13 @@ SELECT DISTINCT m."movieId", title, genres, {metric} AS {name}
 FROM movies m JOIN item_stats s USING ("movieId") WHERE s.n >= 20 AND s.dev IS NOT NULL""")
 
 
-def _five_numbers(source: str) -> str:
+def _five_numbers(source: str, column: str = "n") -> str:
     names = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    quantiles = ", ".join(f"quantile_disc(n, {share}) AS {name}" for name, share in names.items())
+    quantiles = ", ".join(f"quantile_disc({column}, {share}) AS {name}" for name, share in names.items())
     logs = ", ".join(f"round(ln({name}), 6) AS ln_{name}" for name in names)
     return _select(f"""
-SELECT {", ".join(names)}, round(mean, 6) AS mean, {logs}
-FROM (SELECT {quantiles}, avg(n) AS mean FROM {source})""")
+SELECT {", ".join(names) if column == "n" else ", ".join(f"round({name}, 6) AS {name}" for name in names)}, round(mean, 6) AS mean, {logs}
+FROM (SELECT {quantiles}, avg({column}) AS mean FROM (SELECT n, mean AS average FROM {source}))""")
 
 
 def _pearson(entity: str, other: str) -> str:
@@ -267,11 +267,14 @@ _SAME = {
     "intralist_similarity_long_lists": "intralist_similarity",
     "user_item_serendipity_long_lists": "user_item_serendipity",
     "pearson_neighbors_large_entities": "pearson_neighbors",
+    "seen_overlap_bitmaps": "seen_overlap",
+    "catalog_coverage_bitmaps": "catalog_coverage",
 }
 
 
 def statements() -> dict[str, str]:
     found = _statements()
+    found["report_json"] = f"SELECT metric, score FROM (UNPIVOT ({found['evaluation_report']}) ON * INTO NAME metric VALUE score)"
     return found | {name: found[same] for name, same in _SAME.items()}
 
 
@@ -296,6 +299,7 @@ SELECT round(d, 6) AS timespan_in_days, round(d / 365.25, 6) AS timespan_in_year
 FROM (SELECT (max("timestamp") - min("timestamp")) / 86400 AS d FROM ratings)"""),
         "five_number_items": _five_numbers('item_stats JOIN movies USING ("movieId")'),
         "five_number_users": _five_numbers("user_stats"),
+        "five_number_means": _five_numbers("item_stats", "average"),
         "genre_distribution": _select("SELECT genre, count(*) AS number_of_movies FROM genre_rows GROUP BY 1"),
         "genre_count": _select(
             "SELECT count(DISTINCT genre) AS n_genres FROM genre_rows WHERE genre <> '(no genres listed)'"
@@ -357,6 +361,17 @@ FROM rating_scores"""),
         "seen_overlap": _select("""
 SELECT count(*) AS overlap FROM (SELECT DISTINCT "userId", "movieId" FROM ratings) JOIN train USING ("userId", "movieId")"""),
         "item_pairs": _select("SELECT * FROM list_pairs"),
+        "rating_tiles": _select("""
+SELECT "userId" // 64 AS row_tile, "movieId" // 64 AS col_tile, CASE WHEN count(*) >= 1024 THEN 'dense' ELSE 'sparse' END AS kind,
+       count(*)::INTEGER AS cells, round(sum(rating), 6) AS total
+FROM ratings GROUP BY 1, 2"""),
+        "rating_matrix_dense": _select("""
+SELECT "userId", col_tile, array_to_string([coalesce(m[p], 0.0::DOUBLE)::VARCHAR FOR p IN range(64)], ' ') AS row_values FROM (
+  SELECT "userId", "movieId" // 64 AS col_tile, map_from_entries(list(("movieId" % 64, rating))) AS m FROM ratings GROUP BY 1, 2)"""),
+        "tile_column_totals": _select("""
+SELECT "movieId", count(*) AS n, round(sum(rating), 6) AS total, round(sum(rating * rating), 6) AS squares FROM ratings GROUP BY 1"""),
+        "tile_centred_cells": _select("""
+SELECT "userId", "movieId", round(rating - mean, 6) AS rating FROM ratings JOIN item_stats USING ("movieId")"""),
         "cooccurrence_similarity": _select("""
 SELECT i1, i2, round(coalesce(sim, 0), 6) AS sim FROM asked LEFT JOIN sims USING (i1, i2)"""),
         "feature_similarity": _select("SELECT i1, i2, round(sim, 6) AS sim FROM asked JOIN feature_sims USING (i1, i2)"),

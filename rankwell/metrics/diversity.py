@@ -16,12 +16,12 @@ from rankwell.columns import DEFAULT_COLS, Cols
 from rankwell.functions.expressions import dot, unit
 from rankwell.operators.similarity import (
     LARGE_GROUP_ROWS,
+    cosine_weights,
     item_counts,
     list_pairs,
     pair_sums,
     require_features,
     split_by_group_size,
-    with_cosine,
 )
 from rankwell.skew import spread_join
 
@@ -67,14 +67,13 @@ def intralist_similarity(
 
 
 def _intralist_by_pairs(train: DataFrame, lists: DataFrame, cols: Cols, large_group_rows: int) -> DataFrame:
-    pairs = list_pairs(lists, cols.user, cols.item).filter("i1 <> i2")
+    pairs = list_pairs(lists, cols.user, cols.item).filter("i1 <> i2").withColumnsRenamed({"i1": "lo", "i2": "hi"})
     listed = item_counts(lists, cols.item)
     rows = spread_join(train.select(cols.user, cols.item), listed.select(cols.item), cols.item, "left_semi")
-    shared = pair_sums(rows, rows, pairs, cols.user, cols.item, None, large_group_rows)
-    sims = with_cosine(shared, item_counts(rows, cols.item), cols.item)
+    sims = pair_sums(cosine_weights(rows, cols.user, cols.item), None, pairs, cols.user, cols.item, "w", large_group_rows)
     # A pair of two popular items may stand in most lists.
-    matched = spread_join(pairs, sims, ["i1", "i2"], "left", counts=listed.withColumnRenamed(cols.item, "i2"))
-    return matched.groupBy(cols.user).agg(F.avg(F.coalesce("sim", F.lit(0.0))).alias("mean_similarity"))
+    matched = spread_join(pairs, sims, ["lo", "hi"], "left", counts=listed.withColumnRenamed(cols.item, "hi"))
+    return matched.groupBy(cols.user).agg(F.avg(F.coalesce("shared", F.lit(0.0))).alias("mean_similarity"))
 
 
 def _intralist_by_co_users(train: DataFrame, lists: DataFrame, cols: Cols) -> DataFrame:
@@ -191,14 +190,14 @@ def _history_mean_by_pairs(history: DataFrame, wanted: DataFrame, cols: Cols, la
     # At most long_list_rows recommendations meet each history row.
     listed = wanted.select(cols.user, F.col(cols.item).alias("i1"), "weight")
     met = spread_join(history.withColumnRenamed(cols.item, "i2"), listed, cols.user)
+    met = met.withColumns({"lo": F.least("i1", "i2"), "hi": F.greatest("i1", "i2")}).drop("i2")
     counts = item_counts(history, cols.item)
-    left = spread_join(history, wanted.select(cols.item).distinct(), cols.item, "left_semi", counts)
-    shared = pair_sums(history, left, met, cols.user, cols.item, None, large_group_rows)
-    sims = with_cosine(shared, counts, cols.item)
-    # No pair meets more often than its history item occurs.
-    matched = spread_join(met, sims, ["i1", "i2"], "left", counts=counts.withColumnRenamed(cols.item, "i2"))
+    weighted = cosine_weights(history, cols.user, cols.item, counts)
+    sims = pair_sums(weighted, wanted.select(cols.item).distinct(), met, cols.user, cols.item, "w", large_group_rows, counts)
+    # No pair meets more often than its rarer item occurs among histories and lists.
+    matched = spread_join(met, sims, ["lo", "hi"], "left", counts=counts.withColumnRenamed(cols.item, "hi"))
     return matched.groupBy(cols.user, F.col("i1").alias(cols.item)).agg(
-        F.avg(F.coalesce("sim", F.lit(0.0))).alias("mean_sim"), F.first("weight").alias("weight")
+        F.avg(F.coalesce("shared", F.lit(0.0))).alias("mean_sim"), F.first("weight").alias("weight")
     )
 
 

@@ -3,8 +3,8 @@
 No operator here lists all pairs of a catalogue. A requested pair (i1, i2) needs the groups
 (users) that hold both items, and those are found from two sides:
 
-* groups of bounded size join their rows, cut down to the items that occur as i1, to their
-  own rows;
+* groups of bounded size join the rows of the items that occur as i1 to all their rows, each
+  unordered pair once;
 * rows of larger groups are reached from the pair: the rarer item of the pair is expanded to
   its large groups, and (group, other item) is looked up. One group is then never paired with
   itself, and a pair costs at most the rarer item's number of large groups.
@@ -60,76 +60,84 @@ def shared_sums(
     item: str,
     value: str | None = None,
     large_group_rows: int = LARGE_GROUP_ROWS,
+    item_rows: DataFrame | None = None,
 ) -> DataFrame:
     """``pairs`` (i1, i2; distinct) with ``shared``: the sum over common groups of value * value.
 
     Without ``value`` every row weighs one, so ``shared`` counts the common groups. Pairs
     without a common group get 0. ``rows`` hold each (group, item) once.
     """
+    asked = pairs.withColumns({"lo": F.least("i1", "i2"), "hi": F.greatest("i1", "i2")})
     left_items = pairs.select(F.col("i1").alias(item)).distinct()
-    left = spread_join(rows, left_items, item, "left_semi")
-    sums = pair_sums(rows, left, pairs, group, item, value, large_group_rows)
-    return pairs.join(sums, ["i1", "i2"], "left").withColumn("shared", F.coalesce("shared", F.lit(0)))
+    sums = pair_sums(rows, left_items, asked, group, item, value, large_group_rows, item_rows)
+    return asked.join(sums, ["lo", "hi"], "left").drop("lo", "hi").withColumn("shared", F.coalesce("shared", F.lit(0)))
 
 
 def pair_sums(
     rows: DataFrame,
-    left: DataFrame,
+    left_items: DataFrame | None,
     pairs: DataFrame,
     group: str,
     item: str,
     value: str | None = None,
     large_group_rows: int = LARGE_GROUP_ROWS,
+    item_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """(i1, i2, shared) for every pair of ``pairs`` with a common group, and maybe for others.
+    """(lo, hi, shared) for every pair of ``pairs`` with a common group, and maybe for others.
 
-    ``left`` are the rows of the items that occur as i1, ``rows`` those of all items of
-    ``pairs``. Sums of pairs nobody asked for lack the large groups: join the result to pairs.
+    Pairs are unordered, lo <= hi, as the sum is the same both ways. ``rows`` are those of all items
+    of ``pairs``; every pair has an item of ``left_items`` (None: all), so only their rows meet the
+    rest of their group, two of them once. Sums of pairs nobody asked for lack the large groups: join
+    the result to pairs. ``item_rows`` (item, n), the rows of each item, spares counting them.
     """
     weight = F.lit(1) if value is None else F.col(value)
-    rows, left = (df.select(group, item, weight.alias("__x")) for df in (rows, left))
+    rows = rows.select(group, item, weight.alias("__x"))
+    if left_items is None:
+        rows = rows.withColumn("__left", F.lit(True))
+    else:
+        marked = spread_join(rows, left_items.select(item, F.lit(True).alias("__left")), item, "left", item_rows)
+        rows = marked.select(group, item, "__x", F.coalesce("__left", F.lit(False)).alias("__left"))
+    # Both sides of the join, and the counts, read the stored rows.
+    rows = checkpoint(rows)
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     if (counts.agg(F.max("n")).first()[0] or 0) <= large_group_rows:
-        products = _from_groups(left, rows, group, item)
+        products = _from_groups(rows, group, item)
     else:
         large = counts.filter(F.col("n") > large_group_rows).select(group)
-        small_left, small_rows = (spread_join(df, large, group, "left_anti", counts) for df in (left, rows))
+        small_rows = spread_join(rows, large, group, "left_anti", counts)
         large_rows = spread_join(rows, large, group, "left_semi", counts)
-        products = _from_groups(small_left, small_rows, group, item).unionByName(
-            _from_pairs(large_rows, pairs, group, item)
-        )
-    return products.groupBy("i1", "i2").agg(F.sum("__xy").alias("shared"))
+        products = _from_groups(small_rows, group, item).unionByName(_from_pairs(large_rows, pairs, group, item))
+    return products.groupBy("lo", "hi").agg(F.sum("__xy").alias("shared"))
 
 
-def _from_groups(left: DataFrame, rows: DataFrame, group: str, item: str) -> DataFrame:
-    one = left.select(group, F.col(item).alias("i1"), F.col("__x").alias("__y"))
-    two = rows.select(group, F.col(item).alias("i2"), "__x")
-    return one.join(two, group).select("i1", "i2", (F.col("__x") * F.col("__y")).alias("__xy"))
+def _from_groups(rows: DataFrame, group: str, item: str) -> DataFrame:
+    one = rows.filter("__left").select(group, F.col(item).alias("__a"), F.col("__x").alias("__y"))
+    two = rows.select(group, F.col(item).alias("__b"), "__x", "__left")
+    met = one.join(two, group).filter(~F.col("__left") | (F.col("__a") <= F.col("__b")))
+    return met.select(F.least("__a", "__b").alias("lo"), F.greatest("__a", "__b").alias("hi"), (F.col("__x") * F.col("__y")).alias("__xy"))
 
 
 def _from_pairs(rows: DataFrame, pairs: DataFrame, group: str, item: str) -> DataFrame:
     counts = rows.groupBy(item).agg(F.count(F.lit(1)).alias("n"))
-    n1 = counts.select(F.col(item).alias("i1"), F.col("n").alias("n1"))
-    n2 = counts.select(F.col(item).alias("i2"), F.col("n").alias("n2"))
+    n1 = counts.select(F.col(item).alias("lo"), F.col("n").alias("n1"))
+    n2 = counts.select(F.col(item).alias("hi"), F.col("n").alias("n2"))
     first_is_rarer = F.col("n1") <= F.col("n2")
     directed = (
-        pairs.select("i1", "i2")
+        pairs.select("lo", "hi")
         .distinct()
-        .join(n1, "i1")
-        .join(n2, "i2")
+        .join(n1, "lo")
+        .join(n2, "hi")
         .select(
-            "i1",
-            "i2",
-            F.when(first_is_rarer, F.col("i1")).otherwise(F.col("i2")).alias("__rare"),
-            F.when(first_is_rarer, F.col("i2")).otherwise(F.col("i1")).alias("__other"),
+            "lo",
+            "hi",
+            F.when(first_is_rarer, F.col("lo")).otherwise(F.col("hi")).alias("__rare"),
+            F.when(first_is_rarer, F.col("hi")).otherwise(F.col("lo")).alias("__other"),
         )
     )
-    by_rare = rows.withColumnRenamed(item, "__rare")
+    by_rare = rows.select(group, F.col(item).alias("__rare"), "__x")
     reached = spread_join(by_rare, directed, "__rare", counts=counts.withColumnRenamed(item, "__rare"))
     looked_up = rows.select(group, F.col(item).alias("__other"), F.col("__x").alias("__y"))
-    return reached.join(looked_up, [group, "__other"]).select(
-        "i1", "i2", (F.col("__x") * F.col("__y")).alias("__xy")
-    )
+    return reached.join(looked_up, [group, "__other"]).select("lo", "hi", (F.col("__x") * F.col("__y")).alias("__xy"))
 
 
 def item_counts(train: DataFrame, item: str = "movieId") -> DataFrame:
@@ -144,16 +152,19 @@ def cooccurrence_similarity(
     large_group_rows: int = LARGE_GROUP_ROWS,
 ) -> DataFrame:
     """n(i1, i2) / sqrt(n(i1) n(i2)) over users, for each requested pair; 0 when never together."""
-    shared = shared_sums(train, pairs, user, item, large_group_rows=large_group_rows)
-    return with_cosine(shared, item_counts(train, item), item)
+    counts = item_counts(train, item)
+    shared = shared_sums(cosine_weights(train, user, item, counts), pairs, user, item, "w", large_group_rows, counts)
+    return shared.select("i1", "i2", F.col("shared").cast("double").alias("sim"))
 
 
-def with_cosine(shared: DataFrame, counts: DataFrame, item: str = "movieId") -> DataFrame:
-    """(i1, i2, sim) from co-occurrence counts ``shared`` and the (item, n) counts."""
-    n1 = counts.select(F.col(item).alias("i1"), F.sqrt("n").alias("__r1"))
-    n2 = counts.select(F.col(item).alias("i2"), F.sqrt("n").alias("__r2"))
-    sim = F.coalesce(F.col("shared") / (F.col("__r1") * F.col("__r2")), F.lit(0.0))
-    return shared.join(n1, "i1", "left").join(n2, "i2", "left").select("i1", "i2", sim.alias("sim"))
+def cosine_weights(train: DataFrame, user: str = "userId", item: str = "movieId", counts: DataFrame | None = None) -> DataFrame:
+    """(user, item, w) with w = 1 / sqrt(rows of the item): sums of products of w are co-occurrence cosines.
+
+    Weights are joined to the rows, of which there are fewer than of pairs, and no hot item is left whole.
+    """
+    counts = item_counts(train, item) if counts is None else counts
+    weights = counts.select(item, (1 / F.sqrt("n")).alias("w"))
+    return spread_join(train.select(user, item), weights, item, counts=counts)
 
 
 def require_features(features: DataFrame, item: str = "movieId", column: str = "features") -> None:
@@ -170,7 +181,13 @@ def feature_similarity(features: DataFrame, pairs: DataFrame, item: str = "movie
     f1 = known.select(F.col(item).alias("i1"), F.col(column).alias("__f1"), F.col("__len").alias("__l1"))
     f2 = known.select(F.col(item).alias("i2"), F.col(column).alias("__f2"), F.col("__len").alias("__l2"))
     cosine = F.try_divide(dot("__f1", "__f2"), F.col("__l1") * F.col("__l2"))
-    return pairs.join(f1, "i1").join(f2, "i2").select("i1", "i2", cosine.alias("sim"))
+    # Stored, so that counting the pairs of each item does not work them out again.
+    asked = checkpoint(pairs.select("i1", "i2"))
+    return spread_join(spread_join(asked, f1, "i1"), f2, "i2", counts=_pairs_of(asked, "i2")).select("i1", "i2", cosine.alias("sim"))
+
+
+def _pairs_of(pairs: DataFrame, side: str) -> DataFrame:
+    return pairs.groupBy(side).agg(F.count(F.lit(1)).alias("n"))
 
 
 def feature_neighbors(features: DataFrame, n: int = 10, item: str = "movieId", column: str = "features", block_items: int = BLOCK_ITEMS) -> Found:
@@ -213,12 +230,14 @@ def pearson_similarity(
     stored ratings enter the sums. A constant vector has no correlation (null). Pairs that
     share nothing are included.
     """
+    pairs = checkpoint(pairs.select("i1", "i2"))
     n = ratings.select(other).distinct().agg(F.count(other)).scalar()
     stats = vector_stats(ratings, entity, value)
     s1 = stats.select(F.col(entity).alias("i1"), F.col("s").alias("s1"), F.col("q").alias("q1"))
     s2 = stats.select(F.col(entity).alias("i2"), F.col("s").alias("s2"), F.col("q").alias("q2"))
     shared = shared_sums(ratings, pairs, other, entity, value, large_group_rows)
-    return shared.join(s1, "i1").join(s2, "i2").select("i1", "i2", correlation(n).alias("r"))
+    known = spread_join(shared, s1, "i1", counts=_pairs_of(pairs, "i1"))
+    return spread_join(known, s2, "i2", counts=_pairs_of(pairs, "i2")).select("i1", "i2", correlation(n).alias("r"))
 
 
 def correlation(n) -> Column:

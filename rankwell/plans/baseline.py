@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwell.columns import DEFAULT_COLS, DEFAULT_K, Cols
-from rankwell.skew import first_gaps, ranked, spread_join
+from rankwell.skew import checkpoint, first_gaps, ranked, spread_join
 
 
 def unseen_candidates(train: DataFrame, k: int = 50, cols: Cols = DEFAULT_COLS) -> DataFrame:
@@ -18,7 +18,7 @@ def unseen_candidates(train: DataFrame, k: int = 50, cols: Cols = DEFAULT_COLS)
     drop out, others get what is left.
     """
     counts = train.groupBy(cols.item).agg(F.count(F.lit(1)).alias("n"))
-    users = train.groupBy(cols.user).agg(F.count(F.lit(1)).alias("n"))
+    users = checkpoint(train.groupBy(cols.user).agg(F.count(F.lit(1)).alias("n")))
     order = [F.desc("n"), F.asc(cols.item)]
     items = ranked(counts.withColumn("__all", F.lit(0)), "__all", order, "__r").drop("__all")
     # No user's first k gaps lie beyond k places more than anybody has rated.
@@ -26,7 +26,9 @@ def unseen_candidates(train: DataFrame, k: int = 50, cols: Cols = DEFAULT_COLS)
     seen = spread_join(train.select(cols.user, cols.item), items.select(cols.item, "__r"), cols.item, counts=counts)
     wanted = first_gaps(seen, users, cols.user, "__r", k)
     offered = items.select("__r", cols.item, F.col("n").cast("double").alias(cols.prediction))
-    return spread_join(wanted, offered, "__r").select(cols.user, cols.item, cols.prediction, "rank")
+    # No place is wanted by more than all users.
+    most = offered.select("__r").withColumn("n", users.agg(F.count(F.lit(1))).scalar())
+    return spread_join(wanted, offered, "__r", counts=most).select(cols.user, cols.item, cols.prediction, "rank")
 
 
 def recommend_popular(train: DataFrame, k: int = DEFAULT_K, cols: Cols = DEFAULT_COLS) -> DataFrame:

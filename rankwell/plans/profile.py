@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankwell.columns import NO_GENRE
 from rankwell.functions.expressions import genre_list
 from rankwell.operators.features import movie_age, ratings_per_item, ratings_per_user
-from rankwell.skew import spread_join
+from rankwell.skew import checkpoint, running_sums, spread_join
 
+# Values a quantile sketch keeps, about: a bracket holds four parts in so many.
+ACCURACY = 1000
 _QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
 
@@ -45,17 +49,58 @@ def rating_timespan(ratings: DataFrame) -> DataFrame:
     )
 
 
-def five_number_summary(counts: DataFrame, column: str) -> DataFrame:
-    """Exact minimum, quartiles and maximum of a count column, with mean and natural logs.
+def exact_quantiles(rows: DataFrame, column: str, shares: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
+    """One row: the exact quantile of each named share, the least value with at least that share of rows up to it.
 
-    The exact quantile keeps one entry per distinct count. Counts that differ add up to the
-    rows counted, so N ratings give fewer than sqrt(2 N) entries.
+    Two passes. A sketch, merged from those of all tasks, brackets each quantile between two values
+    that hold about 4 / ``accuracy`` of the rows; then only the rows of the brackets are counted by
+    value and added up in order. No task ever holds all values. Nulls do not count; without any
+    value all are null.
     """
-    quantiles = [
-        F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY {column})").alias(name)
-        for name, share in _QUARTILES.items()
-    ]
-    summary = counts.agg(*quantiles, F.avg(column).alias("mean"))
+    value = F.col(column)
+    edges = sorted({e for s in shares.values() for e in (max(0.0, s - 2 / accuracy), min(1.0, s + 2 / accuracy))})
+    sketch = rows.agg(
+        F.count(value).alias("n"), F.percentile_approx(value, edges, accuracy).alias("at"), F.min(value).alias("least"), F.max(value).alias("most")
+    ).first()
+    kind = dict(rows.dtypes)[column]
+    if not sketch["n"]:
+        return rows.sparkSession.range(1).select(*[F.lit(None).cast(kind).alias(name) for name in shares])
+    at = dict(zip(edges, sketch["at"]))
+    target = {name: max(1, math.ceil(s * sketch["n"])) for name, s in shares.items()}
+    low = {name: sketch["least"] if s <= 2 / accuracy else at[max(0.0, s - 2 / accuracy)] for name, s in shares.items()}
+    high = {name: sketch["most"] if s >= 1 - 2 / accuracy else at[min(1.0, s + 2 / accuracy)] for name, s in shares.items()}
+    low |= {name: sketch["least"] for name in shares if shares[name] == 0}
+    high |= {name: sketch["least"] for name in shares if shares[name] == 0}
+    low |= {name: sketch["most"] for name in shares if shares[name] == 1}
+
+    def counts():
+        below = [F.count_if(value < F.lit(low[name])).alias(f"{name}_below") for name in shares]
+        inside = [F.count_if(value <= F.lit(high[name])).alias(f"{name}_to") for name in shares]
+        return rows.agg(*below, *inside).first()
+
+    found = counts()
+    missed = [name for name in shares if not found[f"{name}_below"] < target[name] <= found[f"{name}_to"]]
+    if missed:  # the sketch was off: look at all rows for these
+        low |= {name: sketch["least"] for name in missed}
+        high |= {name: sketch["most"] for name in missed}
+        found = counts()
+    open_names = [name for name in shares if low[name] != high[name]]
+    picked = [F.lit(low[name]).cast(kind).alias(name) if name not in open_names else None for name in shares]
+    if open_names:
+        hit = F.array(*[F.when((value >= F.lit(low[n])) & (value <= F.lit(high[n])), n) for n in open_names])
+        inside = rows.select(value.alias("value"), F.explode(F.array_compact(hit)).alias("name")).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+        placed = running_sums(inside, "name", [F.asc("value")], "n")
+        need = F.element_at(F.create_map(*[F.lit(x) for n in open_names for x in (n, target[n] - found[f"{n}_below"])]), F.col("name"))
+        least = placed.filter(F.col("running") >= need)
+        picked = [p if p is not None else F.min(F.when(F.col("name") == n, F.col("value"))).alias(n) for n, p in zip(shares, picked)]
+        return least.agg(*picked)
+    return rows.sparkSession.range(1).select(*picked)
+
+
+def five_number_summary(counts: DataFrame, column: str) -> DataFrame:
+    """Exact minimum, quartiles and maximum of a column, with mean and natural logs."""
+    counts = checkpoint(counts.select(column))
+    summary = _one_row(exact_quantiles(counts, column, _QUARTILES), counts.agg(F.avg(column).alias("mean")))
     return summary.select("*", *[F.ln(name).alias(f"ln_{name}") for name in _QUARTILES])
 
 
@@ -70,6 +115,11 @@ def five_number_users(ratings: DataFrame) -> DataFrame:
     return five_number_summary(ratings_per_user(ratings), "number_of_rating_per_user")
 
 
+def five_number_means(ratings: DataFrame) -> DataFrame:
+    """Distribution of the movies' mean ratings."""
+    return five_number_summary(ratings_per_item(ratings), "average_rating_per_movie")
+
+
 def genre_distribution(movies: DataFrame) -> DataFrame:
     """Movies per genre."""
     return (
@@ -144,6 +194,7 @@ def full_profile(ratings: DataFrame, movies: DataFrame, current_year: int = 2024
         "rating_timespan": rating_timespan(ratings),
         "five_number_items": five_number_items(ratings, movies),
         "five_number_users": five_number_users(ratings),
+        "five_number_means": five_number_means(ratings),
         "genre_distribution": genre_distribution(movies),
         "genre_count": genre_count(movies),
         "genre_rating": genre_rating(ratings, movies),

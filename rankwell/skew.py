@@ -122,6 +122,23 @@ def ranked(df: DataFrame, group: str, order: list[Column], rank: str = "rank") -
     )
 
 
+def running_sums(df: DataFrame, group: str, order: list[Column], value: str, name: str = "running") -> DataFrame:
+    """Every row with the sum of ``value`` over its group up to and with it; ``order`` must leave no ties.
+
+    Like ``ranked``: sorted over all tasks, sums within a sorted run plus those of earlier runs.
+    """
+    run = F.shiftright("__at", 33)
+    placed = df.orderBy(group, *order).withColumn("__at", F.monotonically_increasing_id())
+    placed = checkpoint(placed).withColumn("__run", run)
+    runs = placed.groupBy(group, "__run").agg(F.sum(value).alias("__sum"))
+    before = Window.partitionBy(group).orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("__before", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
+    # A run is one task's share of the sorted rows, so no window holds more than that.
+    within = Window.partitionBy(group, "__run").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.withColumn(name, F.sum(value).over(within)).join(runs, [group, "__run"])
+    return summed.withColumn(name, F.col(name) + F.col("__before")).drop("__at", "__run", "__before")
+
+
 def first_gaps(taken: DataFrame, owners: DataFrame, owner: str, place: str, k: int, n: str = "n", rank: str = "rank") -> DataFrame:
     """(owner, rank, place): the first ``k`` places from 1 on that ``taken`` does not hold, for each owner.
 
@@ -138,6 +155,7 @@ def first_gaps(taken: DataFrame, owners: DataFrame, owner: str, place: str, k: i
     # Of the taken places only how many have each number of free ones before them matters.
     free = F.col(place) - F.col("__j")
     before = placed.filter(free < k).groupBy(owner, free.alias("u")).agg(F.count(F.lit(1)).alias("c"))
+    # At most k entries an owner.
     before = before.groupBy(owner).agg(F.collect_list(F.struct("u", "c")).alias("__taken"))
     nothing = F.array().cast("array<struct<u: bigint, c: bigint>>")
     ranks = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(k).cast("long")))

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
@@ -107,3 +109,21 @@ def test_genre_preferences_are_bounded(movies):
     with pytest.raises(ValueError):
         genres.genre_recommend(movies, {"me": [f"g{i}" for i in range(genres.MAX_PREFERENCES + 1)]})
     assert genres.genre_recommend(movies, {"me": ["Unheard-Of"]}).count() == 0
+
+
+@pytest.mark.parametrize("accuracy", [20, 1000])
+def test_exact_quantiles_of_any_column(spark, accuracy):
+    """Values that all differ, values that are mostly one, a single one, and none."""
+    columns = {
+        "distinct": [((i * 7919) % 10_007) / 3 for i in range(5000)],
+        "crowded": [5.0] * 3000 + [float(i % 11) for i in range(700)],
+        "single": [2.5],
+    }
+    shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
+    for values in columns.values():
+        rows = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(3)
+        got = profile.exact_quantiles(rows, "x", shares, accuracy).first()
+        ordered = sorted(values)
+        assert [got[n] for n in shares] == [ordered[max(1, math.ceil(s * len(ordered))) - 1] for s in shares.values()]
+    none = spark.createDataFrame([(None,)], "x double")
+    assert profile.exact_quantiles(none, "x", shares).first() == (None,) * 5

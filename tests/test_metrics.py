@@ -159,3 +159,33 @@ def test_report_refuses_rated_recommendations(ratings):
     train, test = features.modular_split(ratings)
     with pytest.raises(ValueError, match="already present"):
         report.evaluation_report(train, test, baseline.predict_by_means(train, test), train.withColumn("rank", F.lit(1)))
+
+
+def test_report_checks_within_its_own_jobs(spark, ratings, monkeypatch):
+    """No job runs for the checks alone: they raise from what the metrics' own jobs count."""
+    train, test = (part.persist() for part in features.modular_split(ratings))
+    predictions, recos = baseline.predict_by_means(train, test).persist(), baseline.recommend_popular(train).persist()
+
+    def refused(*_):
+        raise AssertionError("a job of its own")
+
+    context = spark.sparkContext
+
+    def jobs(group, checked):
+        context.setJobGroup(group, group)
+        with monkeypatch.context() as m:
+            for name in ("isEmpty", "count"):
+                m.setattr(type(ratings), name, refused)
+            if not checked:
+                m.setattr(type(ratings), "observe", lambda self, *_: self)
+                m.setattr(report, "Observation", lambda name: type("None_", (), {"get": {"rows": 1, "overlap": 0}})())
+            report.evaluation_report(train, test, predictions, recos).collect()
+        return len(context.statusTracker().getJobIdsForGroup(group))
+
+    jobs("warm", False)
+    assert jobs("checked", True) == jobs("unchecked", False)
+    for empty in ("truth", "predictions", "recommendations"):
+        parts = {"truth": test, "predictions": predictions, "recommendations": recos}
+        parts[empty] = parts[empty].limit(0)
+        with pytest.raises(ValueError, match=f"Empty input dataframe: {empty}"):
+            report.evaluation_report(train, *parts.values())

@@ -180,12 +180,12 @@ def test_similarity_by_name(spark, skewed):
         similarity.item_similarity("unheard", skewed, pairs)
 
 
-@pytest.mark.parametrize("large_entity_rows", [3, 100_000])
-def test_constant_vectors_have_no_correlation(spark, large_entity_rows):
+@pytest.mark.parametrize("tile_rows", [3, 100_000])
+def test_constant_vectors_have_no_correlation(spark, tile_rows):
     """Values that binary fractions cannot hold: what is left of a constant's spread is rounding."""
     rows = [(u, i, 0.3) for u in (1, 2) for i in range(11)] + [(3, i, 0.1 * i) for i in range(11)] + [(4, i, 0.7 - 0.1 * i) for i in range(5)]
     ratings = spark.createDataFrame(rows, "userId long, movieId long, rating double")
-    got = neighbors.pearson_neighbors(ratings, 5, large_entity_rows=large_entity_rows)
+    got = neighbors.pearson_neighbors(ratings, 5, tile_rows=tile_rows)
     assert {(r.userId, r.neighbor) for r in got.collect()} == {(3, 4), (4, 3)}
     pairs = spark.createDataFrame([(1, 2), (1, 3), (3, 4)], "i1 long, i2 long")
     r = {(x.i1, x.i2): x.r for x in similarity.pearson_similarity(ratings, pairs, "userId", "movieId").collect()}
