@@ -61,7 +61,7 @@ def _bpe(spark, folder):
 
 def _quality(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return quality.judge(quality.measured(docs)).select(
+    return quality.judge_measured(quality.measured(docs)).select(
         "doc_id",
         "n_words",
         "word_chars",

@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from rankwell.llm import quality
+from tests.conftest import SMALL
 
 RULES_OF = {
     "short": lambda m: m["n"] < 50,
@@ -86,3 +87,20 @@ def test_native_plan(awkward):
     df = quality.judge(quality.measured(awkward), quality.RULES)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_rules_by_measured_columns_equal_those_by_text(spark, awkward):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(awkward.filter("doc_id < 50").dropDuplicates(["doc_id"]).select(F.col("doc_id") + 100_000, "text"))
+    held = quality.measured(docs)
+    by_text = {r.doc_id: r.rejected_by for r in quality.judge(docs, quality.RULES).collect()}
+    assert by_text == {r.doc_id: r.rejected_by for r in quality.judge_measured(held, quality.RULES).collect()}
+    kept = {r.doc_id for r in quality.judge_measured(held).filter("rejected_by is null").collect()}
+    assert kept == {i for i, why in by_text.items() if why is None}
+
+
+def test_texts_of_megabytes(spark):
+    rows = [(1, "word " * 600_000), (2, "".join(f"w{i} " for i in range(400_000)))]
+    got = {r.doc_id: r for r in quality.judge_measured(quality.measured(spark.createDataFrame(rows, "doc_id long, text string")), quality.RULES).collect()}
+    assert (got[1].n_words, got[1].n_repeat_words, got[1].rejected_by) == (600_000, 600_000, "repeats")
+    assert (got[2].n_words, got[2].n_repeat_words, got[2].rejected_by) == (400_000, 0, None)
