@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankwell.llm.common import as_bytes, hashed_words, slices, text_batches, with_struct
+from rankwell.llm.common import as_bytes, hashed_words, slices, stored, text_batches, with_struct
 
 # Words, pairs of neighbours and pairs around one or two words share 2 ** BUCKET_BITS buckets.
 BUCKET_BITS, SKIPS = 22, (1, 2, 3)
@@ -99,21 +99,29 @@ def _fit(rows: pa.Table) -> pa.Table:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic") -> dict[int, float]:
     """Weights by bucket, learned from labelled rows; the driver gets at most 2 ** BUCKET_BITS + 1.
 
-    ``TRAIN_ROWS`` labelled ids at most are used, a fixed choice by hash; labels of them are
-    sent to all workers, the texts stay in their shards. Rows without id, text or label teach
-    nothing. Without rows the weights are empty.
+    ``TRAIN_ROWS`` labelled rows at most are used, a fixed choice by hashes of id and text; equal rows
+    count as one. Ids and text hashes of them are sent to all workers, the texts stay in their shards.
+    Rows without id, text or label teach nothing. Without rows the weights are empty.
     """
     text_batches(docs.sparkSession)
-    order = F.xxhash64("id")
     told = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label"))
     told = told.filter("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
-    chosen = told.withColumn("order", order).orderBy("order", "id").limit(TRAIN_ROWS)
+    order = F.xxhash64("id")
+    first = F.broadcast(told.withColumn("order", order).orderBy("order", "id").limit(TRAIN_ROWS))
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).filter("text is not null")
+    texts = texts.withColumn("mark", F.xxhash64("text"))
+    # An id may have many texts, so the rows are chosen among (id, text hash) pairs.
+    pairs = texts.join(first, "id").select("order", "id", "mark", "label").distinct()
+    chosen = stored(pairs.orderBy("order", "id", "mark").limit(TRAIN_ROWS))
     shards = -(-chosen.count() // SHARD_ROWS)
     if not shards:
         return {}
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("text")).filter("text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").select("text", "label", "order", F.pmod("order", F.lit(shards)).alias("shard"))
-    found = rows.groupBy("shard").applyInArrow(_fit, "bucket long, weight double")
+    rows = texts.join(F.broadcast(chosen), ["id", "mark"])
+    # Copies of a row are folded in the map tasks.
+    rows = rows.groupBy("order", "id", "mark", "label").agg(F.first("text").alias("text"))
+    rows = rows.select("text", "label", F.xxhash64("order", "mark").alias("order"))
+    dealt = rows.withColumn("shard", F.pmod("order", F.lit(shards)))
+    found = dealt.groupBy("shard").applyInArrow(_fit, "bucket long, weight double")
     means = found.groupBy("bucket").agg(F.sum("weight").alias("weight"))
     return {r.bucket: r.weight / shards for r in means.collect()}
 
