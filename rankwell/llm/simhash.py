@@ -220,8 +220,10 @@ def near_links(prints: DataFrame, radius: int = RADIUS, paired: int = PAIRED) ->
     """Links (a, b) that connect all of ``prints`` (fp long, distinct) within ``radius`` bits.
 
     Every link is between fingerprints within the radius, and any two such fingerprints are
-    connected by links.
+    connected by links. An odd radius raises ValueError: two balls of half of it need not meet.
     """
+    if radius % 2:
+        raise ValueError(f"radius {radius} is odd")
     met = half_balls(prints, radius)
     met = met.repartition("key").sortWithinPartitions("key").mapInArrow(_verified(radius, paired), "a long, b long")
     met = stored(met.distinct())

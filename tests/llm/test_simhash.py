@@ -112,3 +112,8 @@ def test_query(spark):
     rows = queries.QUERIES["op10_simhash"](spark, SMALL).collect()
     assert len(rows) == len(want)
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == want
+
+
+def test_odd_radii_are_refused(spark):
+    with pytest.raises(ValueError, match="odd"):
+        simhash.near_links(spark.createDataFrame([(1,)], "fp long"), radius=3)
