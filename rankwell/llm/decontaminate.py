@@ -149,6 +149,19 @@ def hits(grams: DataFrame, prints: DataFrame, row: str) -> DataFrame:
     )
 
 
+def _met(docs: DataFrame, columns: list[str], items: DataFrame, text: str, item_id: str, item_text: str, row: str, found: str):
+    """(columns, row number and fingerprints of every document, stored; hits of the rows that have any)."""
+    prints = stored(item_fingerprints(items, item_id, item_text))
+    bitmap, spans = filter_bitmap(prints)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    wanted = docs.select(*[docs[f"`{c}`"] for c in columns], F.col(f"`{text}`").alias(fresh(docs, "__text")))
+    name = wanted.columns[-1]
+    marked = _fingerprinted(wanted.withColumn(row, F.monotonically_increasing_id()), name, found, spans, False, shared)
+    marked = stored(marked.drop(name))
+    grams = marked.select(row, F.explode(F.col(f"{found}.grams")).alias("g")).select(row, "g.*")
+    return marked, hits(grams, prints, row)
+
+
 def scan(
     docs: DataFrame,
     items: DataFrame,
@@ -166,18 +179,11 @@ def scan(
     items have no words. ``keep`` names the columns to keep (all if None); those named as a
     result are replaced. Rows are told apart by place, so repeated ids do no harm.
     """
-    prints = stored(item_fingerprints(items, item_id, item_text))
-    bitmap, spans = filter_bitmap(prints)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
     row, found = fresh(docs, "__row"), fresh(docs, "__found")
     taken = {"n_words", "n_hit", "spans", "item_ids"}
     columns = [c for c in (docs.columns if keep is None else keep) if c.lower() not in taken]
-    wanted = docs.select(*[docs[f"`{c}`"] for c in columns], F.col(f"`{text}`").alias(fresh(docs, "__text")))
-    name = wanted.columns[-1]
-    marked = _fingerprinted(wanted.withColumn(row, F.monotonically_increasing_id()), name, found, spans, False, shared)
-    marked = stored(marked.drop(name))
-    grams = marked.select(row, F.explode(F.col(f"{found}.grams")).alias("g")).select(row, "g.*")
-    met = _united(hits(grams, prints, row), row)
+    marked, met = _met(docs, columns, items, text, item_id, item_text, row, found)
+    met = _united(met, row)
     out = marked.join(met, row, "left")
     nothing = F.array().cast("array<struct<start: bigint, end: bigint>>")
     runs = F.coalesce("__runs", nothing)
@@ -210,11 +216,17 @@ def _united(met: DataFrame, row: str) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, **names: str) -> DataFrame:
-    """The rows of ``docs`` without a hit word, columns as they were."""
-    name = fresh(docs, "__docs")
-    whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(name), F.col(f"`{names.get('text', 'text')}`").alias("text"))
-    kept = scan(whole, items, [name], **{k: v for k, v in names.items() if k != "text"}).filter("n_hit = 0")
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a hit word, columns as they were; see ``scan``.
+
+    Rows without a fingerprint of an item, nearly all, are passed on as they are; only the others
+    are joined with what was found in them.
+    """
+    name, row, found = fresh(docs, "__docs"), fresh(docs, "__row"), fresh(docs, "__found")
+    whole = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias(name), F.col(f"`{text}`").alias("text"))
+    marked, met = _met(whole, [name], items, "text", item_id, item_text, row, found)
+    none = F.size(F.col(f"{found}.grams")) == 0
+    kept = marked.filter(none).select(name).union(marked.filter(~none).join(met.select(row).distinct(), row, "left_anti").select(name))
     return kept.select(*[F.col(f"`{name}`.`{c}`").alias(c) for c in docs.columns])
 
 
