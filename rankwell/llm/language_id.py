@@ -18,8 +18,9 @@ UNKNOWN = "und"
 MAX_LANGUAGES = 1000
 # A text fits no language if its n-grams are on average UNLIKELY nats less likely than the
 # language's own, and contradicts its label if another language makes them CONTRADICTED nats more
-# likely. Labels learned from fewer than SURE n-grams per unit of smoothing are not contradicted.
-UNLIKELY, CONTRADICTED, SURE = 2.5, 1.25, 10
+# likely, and more by what the label's counts leave open: with DOUBT times the smoothing's mass in
+# unseen n-grams of the label, all of them could be more likely by that much.
+UNLIKELY, CONTRADICTED, DOUBT = 2.5, 1.25, 2.0
 SLICE_BYTES = 1_000_000
 # Numbers that mix the characters of an n-gram, odd and of 64 bits.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -81,8 +82,8 @@ def counted(rows: DataFrame, text: str, lang: str, bits: int = BUCKET_BITS) -> D
 class Model:
     """Languages and the log probability of each bucket (buckets x languages).
 
-    ``expected`` is the mean log probability of a language's own n-grams, ``sure`` whether it was
-    learned from enough of them to be contradicted.
+    ``expected`` is the mean log probability of a language's own n-grams, ``doubt`` how far it may be
+    off for want of them; it narrows as their number grows.
     """
 
     def __init__(self, languages: list[str], counts: np.ndarray, smoothing: float = SMOOTHING):
@@ -91,7 +92,7 @@ class Model:
         smooth = counts + smoothing
         self.logs = np.log(smooth / smooth.sum(axis=0)).astype(np.float32) if languages else np.zeros((counts.shape[0], 0), np.float32)
         self.expected = (np.exp(self.logs, dtype=np.float64) * self.logs).sum(axis=0)
-        self.sure = counts.sum(axis=0) >= SURE * smoothing * len(counts)
+        self.doubt = np.log1p(DOUBT * smoothing * len(counts) / np.maximum(counts.sum(axis=0), 1))
 
     def totals(self, texts: list[bytes]) -> np.ndarray:
         """Log likelihood of each text (rows) in each language, and its n-grams' number last."""
@@ -167,8 +168,8 @@ def fitting(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang
 
     Texts go whose n-grams are on average more than ``UNLIKELY`` nats below what the best language
     expects of its own, and texts that another language makes more than ``CONTRADICTED`` nats an
-    n-gram likelier than their label does. A null label, or one the model has not learned or is
-    not sure of, contradicts nothing. A model without languages leaves all texts with a letter.
+    n-gram likelier than their label does, after what few n-grams of the label leave in doubt. A null
+    label, or one the model has not learned, contradicts nothing. A model without languages leaves all texts with a letter.
     """
     text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -191,7 +192,7 @@ def fitting(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang
                     row = totals[i, :-1] / totals[i, -1]
                     best, own = int(row.argmax()), number.get(label)
                     likely = row[best] >= model.expected[best] - UNLIKELY
-                    contradicted = own is not None and model.sure[own] and row[best] - row[own] > CONTRADICTED
+                    contradicted = own is not None and row[best] - row[own] > CONTRADICTED + model.doubt[own]
                     out.append(bool(likely and not contradicted))
             yield pa.array(out, pa.bool_())
 
