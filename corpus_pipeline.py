@@ -15,7 +15,11 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Documents that no quality rule rejects.
+
+    Null and empty texts have no words and go, as too short. Repeated rows are judged alike. Rules that
+    would reject the same document in another order reject it in this one too, so ties do not matter.
+    """
     return quality.keep(docs)
 
 
@@ -30,17 +34,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates."""
+    """One document, that with the smallest id, of each group of near-duplicates.
+
+    Of rows with the same smallest id, repeated rows among them, one stays; a null id comes last. Texts
+    without words, null ones among them, are one group.
+    """
     return simhash.deduplicate(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage.
+
+    Null and empty texts have none and stay, as do repeated rows of a clean text. Items without words or
+    without id remove as their words do; an empty benchmark removes nothing.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, their number, and whether they decode to its text."""
+    """Token ids of each document, their number, and whether they decode to its text.
+
+    Null and empty texts have no ids and are exact. Repeated rows keep a row each.
+    """
     out = bpe.decode(bpe.encode(docs, RANKS), RANKS)
     return out.select(
         "doc_id",
