@@ -324,10 +324,10 @@ sets AS MATERIALIZED (
 sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
 sized AS MATERIALIZED (SELECT * FROM sets JOIN sizes USING (doc_id)),
 met AS MATERIALIZED (
-  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS shared
   FROM sized a JOIN sized b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)
   GROUP BY 1, 2, 3, 4),
-links AS MATERIALIZED (SELECT a, b FROM met WHERE 100 * both >= {PERCENT} * (na + nb - both)),
+links AS MATERIALIZED (SELECT a, b FROM met WHERE 100 * shared >= {PERCENT} * (na + nb - shared)),
 ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached(doc_id, other) AS (
   SELECT doc_id, doc_id FROM d

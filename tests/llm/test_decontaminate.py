@@ -90,3 +90,15 @@ def test_query(spark):
         (i, n, hit, len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), hit > 0) for (i, _), (n, hit, ids) in zip(docs, want)
     ]
     assert any(r.contaminated for r in rows)
+
+
+def test_texts_of_megabytes(spark):
+    passage = " ".join(f"item{i}" for i in range(40))
+    long = "some filler words here " * 150_000 + passage + " and the rest " * 150_000
+    rows = spark.createDataFrame([(1, long), (2, "x" * 2_000_000), (3, "short")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, passage)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.scan(rows, items).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1].item_ids) == (1_050_040, 40, ["7"])
+    assert [(s.start, s.end) for s in got[1].spans] == [(600_000, 600_040)]
+    assert got[2].n_hit == got[3].n_hit == 0
+    assert sorted(r.doc_id for r in decontaminate.clean(rows, items).collect()) == [2, 3]

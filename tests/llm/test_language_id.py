@@ -72,3 +72,18 @@ def test_query_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) / len(held) > 0.97
+
+
+def test_texts_of_megabytes(spark):
+    """A text cut into pieces is told as a short one is."""
+    learn = [("the cat and the dog sat there " * 20, "en"), ("der hund und die katze sind hier " * 20, "de")]
+    model = language_id.fit(spark.createDataFrame(learn, "text string, lang string"))
+    rows = [(1, "the dog and the cat " * 150_000), (2, "die katze und der hund " * 130_000), (3, "1234 " * 500_000)]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {1: "en", 2: "de", 3: "und"}
+
+
+def test_doubt_about_a_label_narrows(spark):
+    texts = ("aa bb", "aa bb " * 400_000)
+    doubts = [float(language_id.fit(spark.createDataFrame([(t, "xx")], "text string, lang string")).doubt[0]) for t in texts]
+    assert doubts[0] > 5 and 0 < doubts[1] < 0.01

@@ -64,3 +64,23 @@ def test_language_stage_drops_gibberish_and_mislabelled_texts(spark):
     kept = {r.doc_id for r in corpus_pipeline.language(spark, everything, SMALL).collect()}
     assert {i for i in kept if i < 0} == {-i for i in range(len(bad) + 1, len(rows) + 1)}
     assert {r.doc_id for r in clean.collect()} <= kept
+
+
+def test_near_copies_leave_one(spark):
+    """Near copies by the fingerprints' distance, exact copies and copies with other white space: one of each group stays."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    long = [r for r in clean.orderBy("doc_id").collect() if len((r.text or "").split()) > 400][:5]
+    assert len(long) == 5
+    rows = []
+    for n, r in enumerate(long):
+        own = r.text.split()
+        near = [" ".join([*own, f"end{k}"]) for k in range(3)] + ["  ".join(own), r.text.upper(), r.text]
+        rows += [(10**6 + 10 * n + k, t, r.lang, "planted", len(t)) for k, t in enumerate(near)]
+    planted = spark.createDataFrame(rows, clean.schema)
+    close = {i: fingerprint(t) for i, t, *_ in rows}
+    want = {i for n, r in enumerate(long) for i in close if i // 10 == 10**5 + n and (close[i] ^ fingerprint(r.text)).bit_count() > 4}
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, clean.unionByName(planted), SMALL).collect()}
+    assert {i for i in kept if i >= 10**6} <= want and len(want) < 8
+    alone = corpus_pipeline.near_duplicates(spark, planted, SMALL).collect()
+    assert len({r.doc_id // 10 for r in alone}) == 5 and len(alone) <= 5 + len(want)
