@@ -21,6 +21,7 @@ from rankwell.operators import bitmaps, factorization, features, genres, neighbo
 from rankwell.plans import baseline, profile, report  # noqa: E402
 from rankwell.skew import checkpoint, scratch_folder, spread_join  # noqa: E402
 from rankwell.sources import files, readers  # noqa: E402
+from rankwell.sources.layout import lay_out  # noqa: E402
 from rankwell.sources.tables import item_features, movies_view, ratings_view  # noqa: E402
 
 try:
@@ -245,6 +246,16 @@ def _seen_overlap_bitmaps(spark, folder):
     return bitmaps.seen_overlap(features.modular_split(ratings)[0], ratings)
 
 
+def _preprocess_laid_out(spark, folder):
+    return features.preprocess_ratings(lay_out(ratings_view(spark, folder), "userId"), movies_view(spark, folder))
+
+
+def _rating_metrics_laid_out(spark, folder):
+    test, predictions = _test_predictions(spark, folder)
+    both = (lay_out(rows, ["userId", "movieId"]) for rows in (test, predictions))
+    return rating.rating_metrics(*both, check_empty=False)
+
+
 def _on_ratings(use):
     return lambda spark, folder: use(ratings_view(spark, folder))
 
@@ -307,6 +318,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predict_by_means": lambda spark, folder: _test_predictions(spark, folder)[1],
     # Rating and ranking metrics
     "rating_metrics": lambda spark, folder: rating.rating_metrics(*_test_predictions(spark, folder), check_empty=False),
+    "preprocess_ratings_laid_out": _preprocess_laid_out,
+    "rating_metrics_laid_out": _rating_metrics_laid_out,
     "relevant_top_k": lambda spark, folder: ranking.relevant_top_k(_test_predictions(spark, folder)[1]),
     "relevant_by_threshold": lambda spark, folder: ranking.relevant_by_threshold(
         _test_predictions(spark, folder)[1], THRESHOLD

@@ -268,6 +268,8 @@ _SAME = {
     "user_item_serendipity_long_lists": "user_item_serendipity",
     "pearson_neighbors_large_entities": "pearson_neighbors",
     "seen_overlap_bitmaps": "seen_overlap",
+    "preprocess_ratings_laid_out": "preprocess_ratings",
+    "rating_metrics_laid_out": "rating_metrics",
     "catalog_coverage_bitmaps": "catalog_coverage",
 }
 

@@ -1,5 +1,11 @@
 from pyspark.sql.types import IntegerType
-from rankwell.sources import readers
+
+from rankwell.metrics import rating
+from rankwell.operators import features
+from rankwell.plans import baseline
+from rankwell.skew import checkpoint
+from rankwell.sources import layout, readers
+from tests.conftest import rows_of
 
 
 def test_csv_folder(spark, tmp_path):
@@ -60,3 +66,28 @@ def test_checked_file_without_rows(spark, tmp_path):
     (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n")
     found = readers.read_checked(spark, str(tmp_path / "ratings.csv"), readers.RATINGS_SCHEMA)
     assert found.good.count() == 0 and found.rejected.count() == 0
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_laid_out_tables_need_fewer_exchanges(spark, ratings, movies):
+    plain = checkpoint(ratings)
+    by_user = layout.lay_out(plain, "userId")
+    assert sorted(by_user.collect()) == sorted(plain.collect())
+    assert exchanges(features.ratings_per_user(by_user)) == 0 < exchanges(features.ratings_per_user(plain))
+    done, before = (features.preprocess_ratings(rows, movies, 2, 2) for rows in (by_user, plain))
+    assert exchanges(done) < exchanges(before)
+    assert rows_of(done, *before.columns) == rows_of(before)
+    train, test = features.modular_split(plain)
+    predictions = baseline.predict_by_means(train, test)
+    both = [layout.lay_out(rows, ["userId", "movieId"]) for rows in (test, predictions)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        metrics = rating.rating_metrics(*both, check_empty=False)
+        assert exchanges(metrics) == 0
+        want = rating.rating_metrics(test, predictions, check_empty=False).first()
+        assert all(abs(a - b) < 1e-12 for a, b in zip(metrics.first(), want))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
