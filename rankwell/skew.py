@@ -49,12 +49,17 @@ def spread_join(
 
     Slices only balance the work, so ``counts`` (last column of ``on``, n) may be any estimate
     of the rows per key, such as the counts of a related table; without it ``rows`` are
-    counted. ``how`` may be inner, left, left_semi or left_anti.
+    counted. ``how`` may be inner, left, left_semi or left_anti. The greatest count is fetched at
+    once (one small job); a table without hot keys gets the plain join.
     """
     on = [on] if isinstance(on, str) else on
     key = on[-1]
     if counts is None:
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias(n))
+    # Where no key is hot, slices would only add joins to a plan that adaptive execution balances.
+    largest, total = counts.agg(F.max(n), F.sum(n)).first()
+    if (largest or 0) <= max(slice_rows, (total or 0) / HOT_SHARE):
+        return rows.join(side, on, how)
     hot = F.broadcast(hot_keys(counts, key, n, slice_rows))
     slices = F.coalesce(F.col(_SLICES), F.lit(1))
     place = F.pmod(F.xxhash64(*rows.columns), slices).cast("int")
