@@ -42,9 +42,25 @@ def common_count(a: DataFrame, b: DataFrame, keys: Sequence[str] = (), name: str
     return sizes.agg(F.coalesce(F.sum(F.col("each") - F.col("either")), F.lit(0)).cast("long").alias(name))
 
 
+def id_words(rows: DataFrame, id_col: str, keys: Sequence[str], name: str) -> DataFrame:
+    """(keys, word, name): bitmaps of 64 ids in a long, for ids that lie far apart; null ids are left out."""
+    number = F.col(id_col).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int")).alias(name)
+    return rows.filter(F.col(id_col).isNotNull()).select(*keys, F.shiftright(number, 6).alias("word"), bit)
+
+
 def seen_overlap(train: DataFrame, recos: DataFrame, cols: Cols = DEFAULT_COLS) -> DataFrame:
-    """One row (overlap): distinct recommended pairs that occur in ``train``, by the users of each item."""
-    return common_count(id_bitmaps(train, cols.user, [cols.item]), id_bitmaps(recos, cols.user, [cols.item]), [cols.item], "overlap")
+    """One row (overlap): distinct recommended pairs that occur in ``train``, by the users of each item.
+
+    An item's users are few in a bucket of 32,768, so words of 64 users are or-ed, which takes no more
+    room than the pairs do.
+    """
+    none = F.lit(0).cast("long")
+    seen = id_words(train, cols.user, [cols.item], "train").withColumn("reco", none)
+    both = seen.unionByName(id_words(recos, cols.user, [cols.item], "reco").withColumn("train", none))
+    words = both.groupBy(cols.item, "word").agg(F.bit_or("train").alias("train"), F.bit_or("reco").alias("reco"))
+    common = F.bit_count(F.col("train").bitwiseAND(F.col("reco")))
+    return words.agg(F.coalesce(F.sum(common), F.lit(0)).cast("long").alias("overlap"))
 
 
 def catalog_coverage(train_bitmaps: DataFrame, reco_bitmaps: DataFrame) -> DataFrame:

@@ -60,3 +60,15 @@ def test_bitmap_counts(spark, cells):
     assert bitmaps.seen_overlap(a, b).collect() == diversity.seen_overlap(a, b).collect()
     assert bitmaps.common_count(one.limit(0), two, keys).first()[0] == 0
     assert bitmaps.distinct_count(one.limit(0)).first()[0] == 0
+
+
+def test_overlap_takes_room_by_pairs(spark):
+    """Ids far apart, negative, null or twice; no bitmap of a whole bucket for a single id."""
+    a = [(u * 40_009 - 90_000, u % 3) for u in range(300)] + [(None, 1), (-1, 2), (-1, 2), (5, None)]
+    b = [(u * 80_018 - 90_000, u * 2 % 3) for u in range(200)] + [(None, 1), (-1, 2), (64, 2), (5, None), (5, None)]
+    one, two = (spark.createDataFrame(x, "userId long, movieId long") for x in (a, b))
+    found = bitmaps.seen_overlap(one, two)
+    assert found.first()[0] == len({x for x in a if x[0] is not None} & set(b))
+    plan = found._jdf.queryExecution().toString()
+    assert "bit_or" in plan and "bitmap_construct_agg" not in plan
+    assert bitmaps.seen_overlap(one.limit(0), two).first()[0] == 0
