@@ -190,3 +190,24 @@ def test_constant_vectors_have_no_correlation(spark, tile_rows):
     pairs = spark.createDataFrame([(1, 2), (1, 3), (3, 4)], "i1 long, i2 long")
     r = {(x.i1, x.i2): x.r for x in similarity.pearson_similarity(ratings, pairs, "userId", "movieId").collect()}
     assert r[1, 2] is None and r[1, 3] is None and r[3, 4] is not None
+
+
+def test_no_pair_is_formed_without_vectors(spark, monkeypatch):
+    """The query for feature similarity makes pairs of items that have a vector, and finds all of those."""
+    import __spark_entry__ as entry
+
+    train = spark.createDataFrame([(u, i) for u in range(4) for i in range(20)] + [(1, None)], "userId long, movieId long")
+    lists = train.filter("movieId % 2 = 1")
+    vectors = spark.createDataFrame([(i, [1.0, float(i)]) for i in (2, 3, 5, 5)], "movieId long, features array<double>")
+    formed, plain = [], entry.similarity.feature_similarity
+
+    def watched(features, pairs):
+        formed.extend((r.i1, r.i2) for r in pairs.collect())
+        return plain(features, pairs)
+
+    monkeypatch.setattr(entry.similarity, "feature_similarity", watched)
+    monkeypatch.setattr(entry, "_train_and_lists", lambda *_: (train, lists))
+    monkeypatch.setattr(entry, "item_features", lambda *_: vectors)
+    found = rows_of(entry._feature_similarity(spark, "nowhere"), "i1", "i2")
+    assert sorted(formed) == [(a, b) for a in (3, 5) for b in (2, 3, 5)]
+    assert found == rows_of(plain(vectors, entry._asked_pairs(train, lists)), "i1", "i2")
