@@ -211,3 +211,44 @@ def test_no_pair_is_formed_without_vectors(spark, monkeypatch):
     found = rows_of(entry._feature_similarity(spark, "nowhere"), "i1", "i2")
     assert sorted(formed) == [(a, b) for a in (3, 5) for b in (2, 3, 5)]
     assert found == rows_of(plain(vectors, entry._asked_pairs(train, lists)), "i1", "i2")
+
+
+@pytest.mark.parametrize("large, piece, list_rows", [(4096, 2**20, 2**16), (2, 7, 2**16), (2, 40, 3), (4096, 7, 3)])
+def test_asked_pairs_by_blocks(spark, skewed, monkeypatch, large, piece, list_rows):
+    """Sums of asked pairs are added up in blocks, whatever the blocks, pieces and lists; no row is made for a product or a pair."""
+    from rankwell.operators import asked
+
+    rows = [(r["userId"], r["movieId"], r["rating"]) for r in skewed.collect()] + [(None, 1, 2.0), (3, None, 2.0), (3, 61, None), (4, 61, 1.0), (4, 61, 1.0)]
+    train = spark.createDataFrame(rows, "userId int, movieId long, rating double")
+    pairs = [(a, b) for a in range(1, 62, 3) for b in (*range(1, 62, 2), 999)] + [(None, 4), (7, None), (None, None)]
+    asking = spark.createDataFrame(pairs, "i1 long, i2 int")
+    want = defaultdict(float)
+    for (u, a, x), (v, b, y) in itertools.product(rows, rows):
+        if u is not None and u == v and None not in (a, b, x, y):
+            want[a, b] += x * y
+    for blocks in (2**4, 2**22):
+        monkeypatch.setattr(asked, "BLOCK_PRODUCTS", blocks)
+        monkeypatch.setattr(asked, "PIECE", piece)
+        marked = train.withColumn("left", F.lit(True))
+        got = asked.asked_sums(marked, asking, "userId", "movieId", "rating", "left", large, list_rows)
+        # A null is taken for the other item of the pair.
+        assert sorted(map(str, ((r[0], r[1], round(r[2], 9)) for r in got.collect()))) == sorted(
+            map(str, ((a, b, round(want[a or b, b or a], 9) + 0.0) for a, b in pairs))
+        )
+    got = similarity.shared_sums(train, asking, "userId", "movieId", "rating", large)
+    assert dict(got.dtypes) == {"i1": "bigint", "i2": "int", "shared": "double"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "lo#" not in plan and "FlatMapGroupsInArrow" in plan
+
+
+def test_history_pairs_with_items_in_many_lists(spark, skewed, lists, monkeypatch):
+    train = skewed.select("userId", "movieId").unionByName(spark.createDataFrame([(3, None), (None, 5)], "userId long, movieId long"))
+    listed = lists.unionByName(spark.createDataFrame([(4, None), (None, 7), (3, 99)], "userId long, movieId long"))
+    history, recos = ([tuple(r) for r in rows.collect()] for rows in (train, listed.select("userId", "movieId")))
+    want = {(a, b) for u, a in recos for v, b in history if u is not None and u == v}
+    for hot in (2**16, 1):
+        monkeypatch.setattr(similarity, "HOT_LISTED", hot)
+        got = [tuple(r) for r in similarity.history_pairs(train, listed).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    names = [rows.withColumn("movieId", F.col("movieId").cast("string")) for rows in (train, listed)]
+    assert similarity.history_pairs(*names).count() == len(want)
