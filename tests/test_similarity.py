@@ -230,7 +230,7 @@ def test_asked_pairs_by_blocks(spark, skewed, monkeypatch, large, piece, list_ro
         monkeypatch.setattr(asked, "BLOCK_PRODUCTS", blocks)
         monkeypatch.setattr(asked, "PIECE", piece)
         marked = train.withColumn("left", F.lit(True))
-        got = asked.asked_sums(marked, asking, "userId", "movieId", "rating", "left", large, list_rows)
+        got = asked.asked_sums(marked, asking, "userId", "movieId", "rating", "left", large, list_rows=list_rows)
         # A null is taken for the other item of the pair.
         assert sorted(map(str, ((r[0], r[1], round(r[2], 9)) for r in got.collect()))) == sorted(
             map(str, ((a, b, round(want[a or b, b or a], 9) + 0.0) for a, b in pairs))
@@ -252,3 +252,25 @@ def test_history_pairs_with_items_in_many_lists(spark, skewed, lists, monkeypatc
         assert len(got) == len(set(got)) and set(got) == want
     names = [rows.withColumn("movieId", F.col("movieId").cast("string")) for rows in (train, listed)]
     assert similarity.history_pairs(*names).count() == len(want)
+
+
+def test_metrics_form_no_pairs(spark, skewed, lists, monkeypatch):
+    """Lists of whole numbers meet histories in blocks, long ones too; only very long ones meet by raters."""
+    train = skewed.select("userId", "movieId").unionByName(spark.createDataFrame([(3, None), (None, 5)], "userId long, movieId long"))
+    measures = (diversity.intralist_similarity, diversity.user_item_serendipity)
+    monkeypatch.setattr(diversity, "MOST_PAIRS", 0)
+    raters = rows_of(diversity.user_item_serendipity(skewed, lists, long_list_rows=1))
+    monkeypatch.undo()
+    assert rows_of(diversity.user_item_serendipity(skewed, lists, long_list_rows=1)) == raters
+    for measure in measures:
+        plan = measure(train, lists)._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" in plan and "lo#" not in plan
+    # The joins that other ids take give the same rows, those of nulls too; items in many lists are dealt out.
+    from rankwell.operators import asked
+
+    named = [rows.select("userId", F.col("movieId").cast("string").alias("movieId")) for rows in (train, lists)]
+    for products in (2**22, 2**3):
+        monkeypatch.setattr(asked, "BLOCK_PRODUCTS", products)
+        for measure in measures:
+            got = measure(train, lists)
+            assert rows_of(got.withColumn("movieId", F.col("movieId").cast("string")) if "movieId" in got.columns else got) == rows_of(measure(*named))
