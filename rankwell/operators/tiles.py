@@ -69,15 +69,35 @@ def dense_rows(tiles: DataFrame) -> DataFrame:
     """(userId, col_tile, values): each user's row of each tile with a rating of theirs, zeros filled in.
 
     Together the dense user-item matrix, in pieces of ``size`` columns; pieces of zeros only are left out.
+    A tile holds the whole piece, and ``at`` is sorted, so it is cut into rows where it lies: no row is shuffled.
     """
-    zeros = F.array_repeat(F.lit(0.0), F.col("size"))
-    row = F.floor(F.col("e.at") / F.col("size"))
-    cells = tiles.select("row_tile", "col_tile", "size", F.explode(_entries(tiles)).alias("e"))
-    rows = cells.groupBy((F.col("row_tile") * F.col("size") + row).alias("userId"), "col_tile", "size").agg(
-        F.map_from_entries(F.collect_list(F.struct((F.col("e.at") % F.col("size")).alias("p"), F.col("e.value").alias("v")))).alias("held")
-    )
-    filled = F.transform(zeros, lambda zero, p: F.coalesce(F.try_element_at("held", p), zero))
-    return rows.select("userId", "col_tile", filled.alias("values"))
+    size, zero = F.col("size"), F.lit(0.0)
+
+    def row(place: Column) -> Column:
+        return F.floor(place / size)
+
+    firsts = F.filter(F.transform("at", lambda p, i: F.when((i == 0) | (row(p) != row(F.get("at", i - 1))), i)), lambda i: i.isNotNull())
+    cut = tiles.withColumn("firsts", firsts)
+
+    def piece(first: Column, j: Column) -> Column:
+        held = F.coalesce(F.get("firsts", j + 1), F.size("at")) - first
+        here = row(F.get("at", first))
+        whole = F.slice("values", (here * size + 1).cast("int"), size)
+        values = F.when(F.col("kind") == "dense", whole).otherwise(F.slice("values", first + 1, held))
+        return F.struct(here.alias("row"), F.slice("at", first + 1, held).alias("at"), values.alias("values"))
+
+    pieces = cut.select("row_tile", "col_tile", "kind", "size", F.explode(F.transform("firsts", piece)).alias("e"))
+    places = F.transform("e.at", lambda p: (p % size).cast("int"))
+    pieces = pieces.select((F.col("row_tile") * size + F.col("e.row")).alias("userId"), "col_tile", "kind", "size", places.alias("at"), F.col("e.values").alias("values"))
+
+    def with_gap(value: Column, j: Column) -> Column:
+        """A value after the zeros between it and the one before."""
+        gap = F.get("at", j) - F.coalesce(F.get("at", j - 1) + 1, F.lit(0))
+        return F.concat(F.array_repeat(zero, gap), F.array(F.coalesce(value, zero)))
+
+    tail = F.array_repeat(zero, size - 1 - F.element_at("at", -1))
+    filled = F.concat(F.flatten(F.transform("values", with_gap)), tail)
+    return pieces.select("userId", "col_tile", F.when(F.col("kind") == "dense", F.col("values")).otherwise(filled).alias("values"))
 
 
 def column_totals(tiles: DataFrame) -> DataFrame:

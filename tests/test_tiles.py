@@ -43,6 +43,21 @@ def test_dense_rows_and_columns(cells):
     assert centred.keys() == set(want.index) and all(abs(centred[k] - want[k]) < 1e-12 for k in centred)
 
 
+def test_dense_rows_are_cut_where_their_tile_lies(spark):
+    """Null ratings, users with one or all columns of a tile; a tile holds whole rows, so none is shuffled."""
+    rows = [(u, i, None if (u, i) == (3, 1) else float(u + i)) for u in range(8) for i in range(4) if u != 1 and (u + i) % (u + 1) != 1]
+    rows += [(9, i, 1.0) for i in range(3, 9)] + [(65, 3, 2.5), (65, 0, -0.0)]
+    cells = spark.createDataFrame(rows, "userId long, movieId long, rating double")
+    for size, share in ((4, 0.25), (4, 2.0), (64, 0.25)):
+        held = tiles.rating_tiles(cells, size, share).localCheckpoint()
+        dense = tiles.dense_rows(held)
+        assert "Exchange" not in dense._jdf.queryExecution().executedPlan().toString()
+        want = {}
+        for u, i, r in rows:
+            want.setdefault((u, i // size), [0.0] * size)[i % size] = r or 0.0
+        assert {(r.userId, r.col_tile): r["values"] for r in dense.collect()} == want
+
+
 def test_tiles_of_nothing(cells):
     held = tiles.rating_tiles(cells.limit(0))
     assert held.count() == 0 and tiles.dense_rows(held).count() == 0 and tiles.centre_columns(held).count() == 0
