@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rankwell.columns import NO_GENRE
 from rankwell.functions.expressions import genre_list
 from rankwell.operators.features import movie_age, ratings_per_item, ratings_per_user
-from rankwell.skew import checkpoint, running_sums, spread_join
+from rankwell.skew import checkpoint, gathered, running_sums, spread_join
 
 # Values a quantile sketch keeps, about: a bracket holds four parts in so many.
 ACCURACY = 1000
@@ -180,8 +180,11 @@ def user_genre_profile(ratings: DataFrame, movies: DataFrame, user=None) -> Data
     if user is not None:
         ratings = ratings.filter(F.col("userId") == user)
     watched = spread_join(ratings.select("userId", "movieId"), movies.select("movieId", "genres"), "movieId")
+    # Users come together before their genres are told apart: among rows dealt by movie, nearly every
+    # (user, genre) would be a group of its own, several for each rating, in a task's memory.
+    together = gathered(watched.select("userId", "genres"), "userId", ratings.groupBy("userId").agg(F.count(F.lit(1)).alias("n")))
     return (
-        watched.select("userId", F.explode(genre_list("genres")).alias("genre"))
+        together.select("userId", F.explode(genre_list("genres")).alias("genre"))
         .groupBy("userId", "genre")
         .agg(F.count(F.lit(1)).alias("number_of_movies"))
     )

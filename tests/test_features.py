@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
+from rankwell import skew
 from rankwell.functions.expressions import genre_list
 from rankwell.operators import features, genres, popularity
 from rankwell.plans import profile
@@ -127,3 +128,23 @@ def test_exact_quantiles_of_any_column(spark, accuracy):
         assert [got[n] for n in shares] == [ordered[max(1, math.ceil(s * len(ordered))) - 1] for s in shares.values()]
     none = spark.createDataFrame([(None,)], "x double")
     assert profile.exact_quantiles(none, "x", shares).first() == (None,) * 5
+
+
+def test_user_genre_profile_gathers_users_first(spark, monkeypatch):
+    """Rows meet by user before genres are told apart; a user with most ratings lies in several slices."""
+    listed = {i: [f"g{i % k}" for k in (2, 3, 5)] for i in range(40)}
+    movies = spark.createDataFrame([(i, f"M{i} (2000)", "|".join(g)) for i, g in listed.items()], "movieId long, title string, genres string")
+    rows = [(1, i) for i in range(40)] + [(u, (u * 7 + j) % 45) for u in range(2, 12) for j in range(3)] + [(None, 1), (None, 2)]
+    ratings = spark.createDataFrame(rows, "userId long, movieId long")
+    want = {}
+    for user, movie in rows:
+        for genre in listed.get(movie, []):
+            want[user, genre] = want.get((user, genre), 0) + 1
+    for slice_rows in (1_000_000, 5):
+        with monkeypatch.context() as patch:
+            patch.setattr(profile, "gathered", lambda rows, key, counts: skew.gathered(rows, key, counts, slice_rows=slice_rows))
+            found = profile.user_genre_profile(ratings, movies)
+        plan = found._jdf.queryExecution().analyzed().toString()
+        assert plan.index("Generate explode") < plan.index("RebalancePartitions")
+        assert {(r.userId, r.genre): r.number_of_movies for r in found.collect()} == want
+    assert skew.gathered(ratings, "userId", ratings.groupBy("userId").agg(F.count("*").alias("n")), slice_rows=5).count() == len(rows)
