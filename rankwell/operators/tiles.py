@@ -87,7 +87,7 @@ def dense_rows(tiles: DataFrame) -> DataFrame:
         return F.struct(here.alias("row"), F.slice("at", first + 1, held).alias("at"), values.alias("values"))
 
     pieces = cut.select("row_tile", "col_tile", "kind", "size", F.explode(F.transform("firsts", piece)).alias("e"))
-    places = F.transform("e.at", lambda p: (p % size).cast("int"))
+    places = F.transform("e.at", lambda p: F.when(p.isNull(), F.raise_error(F.lit("a rating without user or item has no place"))).otherwise((p % size).cast("int")))
     pieces = pieces.select((F.col("row_tile") * size + F.col("e.row")).alias("userId"), "col_tile", "kind", "size", places.alias("at"), F.col("e.values").alias("values"))
 
     def with_gap(value: Column, j: Column) -> Column:

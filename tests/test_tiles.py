@@ -58,6 +58,13 @@ def test_dense_rows_are_cut_where_their_tile_lies(spark):
         assert {(r.userId, r.col_tile): r["values"] for r in dense.collect()} == want
 
 
+def test_null_ids_have_no_place(spark):
+    for row in ((None, 1, 1.0), (1, None, 1.0)):
+        held = tiles.rating_tiles(spark.createDataFrame([row, (2, 2, 1.0)], "userId long, movieId long, rating double"), 4)
+        with pytest.raises(Exception, match="no place"):
+            tiles.dense_rows(held).collect()
+
+
 def test_tiles_of_nothing(cells):
     held = tiles.rating_tiles(cells.limit(0))
     assert held.count() == 0 and tiles.dense_rows(held).count() == 0 and tiles.centre_columns(held).count() == 0
