@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from rankwell.llm.common import as_bytes, buffer_of, slices, text_batches, with_struct
 
 # Bytes of text handled at once, codepoints in a row of the scan, merged slices a worker keeps.
-SLICE_BYTES = 500_000
+SLICE_BYTES = 250_000
 SCAN_ROW = 256
-CACHED_BYTES = 48_000_000
+CACHED_BYTES = 24_000_000
 # Longer slices are merged but not kept; longer ones are merged with a heap of pairs.
 KEPT_SLICE = 64
 SCANNED_SLICE = 64

@@ -82,3 +82,13 @@ def test_query(spark, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((docs[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_kept_slices_stay_small():
+    """Four workers of an executor keep merged slices for as long as they live."""
+    coder, most = bpe.Encoder({bytes([b]): b for b in range(256)}), 0
+    for start in range(0, 400_000, 5_000):
+        for n in range(start, start + 5_000):
+            coder._ids(b" %06d" % n)
+        most = max(most, coder.kept_bytes)
+    assert 10_000_000 < most < 25_000_000
