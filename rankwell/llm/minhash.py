@@ -186,10 +186,11 @@ def proposed(nodes: DataFrame, matches: int, listed: int = LISTED) -> DataFrame:
     # Values that only this node has come first in the order by rarity and take up its prefix.
     shared = F.array_sort(F.collect_list(F.struct("n", "token")))
     prefix = COORDINATES - matches + 1
-    own = tokens.join(counts, "token").groupBy("node").agg(shared.alias("shared"))
+    # Spark takes exploded rows for as many as before, and an array for one entry: neither may be broadcast by that size.
+    own = tokens.join(counts.hint("merge"), "token").groupBy("node").agg(shared.alias("shared"))
     left = F.greatest(F.lit(0), F.size("shared") - (COORDINATES - prefix))
     own = own.select("node", F.slice("shared", F.lit(1), left).alias("shared")).filter(F.size("shared") > 0)
-    posts = stored(own.join(nodes.select("node", "signature"), "node").select("node", "signature", F.explode("shared").alias("s")).select("s.token", "s.n", "node", "signature"))
+    posts = stored(own.join(nodes.select("node", "signature").hint("merge"), "node").select("node", "signature", F.explode("shared").alias("s")).select("s.token", "s.n", "node", "signature"))
     short = posts.filter(F.col("n") <= listed).select("token", "node", "signature")
     trees = short.repartition("token").sortWithinPartitions("token").mapInArrow(_proposals(matches), "a long, b long")
     long = posts.filter(F.col("n") > listed).select("token", "node")
@@ -275,7 +276,8 @@ def links(docs: DataFrame, text: str, nodes: DataFrame, words: int = WORDS, perc
     tiles = held.select("node", "digest", "component", "slice", F.explode(others).alias("other"))
     tiles = tiles.select("node", "digest", "component", F.least("slice", "other").alias("low"), F.greatest("slice", "other").alias("high"))
     sets = _needed_sets(docs, text, held.select("digest"), words).dropDuplicates(["digest"])
-    met = tiles.join(sets, "digest").select("component", "low", "high", "node", "shingles")
+    # A tile's rows are exploded too: no broadcast of what Spark takes for the slices alone.
+    met = tiles.join(sets.hint("merge"), "digest").select("component", "low", "high", "node", "shingles")
     return met.groupBy("component", "low", "high").applyInArrow(_confirmed(percent), "a long, b long").distinct()
 
 

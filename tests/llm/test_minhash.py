@@ -114,3 +114,23 @@ def test_query(spark):
     got = queries.QUERIES["op12_minhash"](spark, SMALL).collect()
     assert len(got) == len(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    """Spark takes exploded rows for as many as before, so none of them may be broadcast by its size."""
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return minhash_stored(df)
+
+    minhash_stored = minhash.stored
+    monkeypatch.setattr(minhash, "stored", watched)
+    rows = families(7, 10, 6)
+    docs = minhash.signed(spark.createDataFrame(rows, DOCS), "text", "m").select("text", F.col("doc_id").alias("node"), "m.*")
+    nodes = minhash_stored(docs)
+    minhash.proposed(nodes.select("node", "signature"), minhash.match_threshold())
+    assert "posexplode" in plans[0] and "Broadcast" not in plans[0]
+    found = minhash.links(docs.select("text"), "text", nodes.dropDuplicates(["digest"]))
+    met = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in met and "Broadcast" not in met
