@@ -13,7 +13,7 @@ def bundles_of(rows, width):
         [pa.array([b for b, *_ in rows], pa.list_(pa.int32())), pa.array([o for _, o, _ in rows], pa.int64()), pa.array([p for *_, p in rows], pa.binary())],
         ["blocks", "other", "list"],
     )
-    return [row for out in lists._bundled_lists(width)(iter([batch])) for row in out.to_pylist()]
+    return [row for out in lists.bundled_lists(width)(iter([batch])) for row in out.to_pylist()]
 
 
 def test_copies_of_lists_travel_together():
