@@ -88,3 +88,28 @@ def test_sums_go_to_blocks_once_or_with_ratings(spark, skewed, monkeypatch):
             found.append(rows_of(neighbors.pearson_neighbors(rows, 5, "movieId", "userId", targets, tile_rows=7), "movieId", "rank", "neighbor", "r"))
     assert found[0] == found[2] and found[1] == found[3] and len(found[0]) > len(found[1]) > 0
     assert widths == [3, 3, 1, 1]
+
+
+@pytest.mark.parametrize("digits", [None, 9])
+def test_rough_products_lose_nothing(spark, digits):
+    """Products in single precision only leave out rows: close scores, ties and tiny vectors come out as by brute force."""
+    from rankwell.operators import products
+
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal(5)
+    items = [(i, base * (1 + 1e-8 * (i % 7)) + 1e-7 * rng.integers(0, 3, 5)) for i in range(300)] + [(900 + i, rng.standard_normal(5) * 1e-22) for i in range(20)]
+    queries = [(q, rng.standard_normal(5) * (1e-22 if q % 5 == 0 else 1.0)) for q in range(20)]
+    frames = [spark.createDataFrame([(i, v.tolist()) for i, v in rows], "id long, features array<double>") for rows in (queries, items)]
+    found = rows_of(products.best_products(*frames, 6, None, digits=digits, block_items=8).best, "query", "rank", "item")
+    ids, v = np.array([i for i, _ in items]), np.array([v for _, v in items])
+    want = []
+    for q, u in queries:
+        score = v @ u
+        score = score.astype(np.float32) if digits is None else np.round(score, digits)
+        best = np.lexsort((ids, -score))[:6]
+        want += [(q, rank, ids[i]) for rank, i in enumerate(best, 1)]
+    assert len(found) == len(want)
+    kept = {q: score for q, score in ((q, {int(i): float(np.float32(v[j] @ u) if digits is None else np.round(v[j] @ u, digits)) for j, i in enumerate(ids)}) for q, u in queries)}
+    # Matrix and vector products may differ in the last place: the scores are what must agree.
+    for (q, rank, item), (q2, rank2, item2) in zip(found, sorted(want)):
+        assert (q, rank) == (q2, rank2) and kept[q][item] == pytest.approx(kept[q][item2], rel=2e-7, abs=1e-30 if digits is None else 1e-9)
